@@ -1 +1,172 @@
+"""Loads, distributed tables and the incremental load."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ferryline.checks.registry import ORDERS, check, orders, table
+from ferryline.operators import distribution
+from ferryline.operators.load import load, truncate, write_counted
+from ferryline.plans.catalog import ORDERS_SCHEMA, load_orders
+from ferryline.runtime import scratch_database, shared_folder
+from ferryline.sources.feed_format import LOAD_FORMAT
+from ferryline.sources.feed_reader import read_feed
+from ferryline.sources.feed_writer import write_feed
+from ferryline.streaming.ingest import ingest_stream
+
+PER_STATUS = f"""SELECT status, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount
+FROM {ORDERS} GROUP BY status"""
+
+
+def _per_status(df):
+    return df.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(18,2)").alias("amount")
+    )
+
+
+def _orders_table(spark, *, partitioned=False):
+    """An empty orders table in a scratch database."""
+    name = f"{scratch_database(spark)}.orders"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA)
+    tail = " PARTITIONED BY (status)" if partitioned else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{tail}")
+    return name
+
+
+def _spoiled_feed(spark, sf):
+    """An order feed in which every 50th amount is no number and every 75th day no date."""
+    path = shared_folder(spark, "feed")
+    key = F.col("order_id")
+    spoiled = orders(spark, sf).select(
+        "order_id",
+        "customer_id",
+        F.when(key % 75 == 0, F.lit("1998-13-01")).otherwise(F.col("order_dt").cast("string")).alias("order_dt"),
+        F.when(key % 50 == 0, F.lit("bad")).otherwise(F.col("amount").cast("string")).alias("amount"),
+        "status",
+    )
+    write_feed(spoiled, path, LOAD_FORMAT)
+    return read_feed(spark, path, ORDERS_SCHEMA, LOAD_FORMAT, on_error="flag")
+
+
+@check(PER_STATUS)
+def load_append(spark, sf):
+    root, target = shared_folder(spark, "root"), _orders_table(spark)
+    data = orders(spark, sf)
+    write_feed(data.where("order_dt < '1998-01-01'"), f"{root}/orders/run-1", LOAD_FORMAT, gzip=True, files=4)
+    write_feed(data.where("order_dt >= '1998-01-01'"), f"{root}/orders/run-2", LOAD_FORMAT, gzip=True, files=4)
+    schema = target.split(".")[0]
+    for run in ("run-1", "run-2"):
+        load_orders(spark, run, root=root, schema=schema)
+    return _per_status(spark.table(target))
+
+
+@check(f"SELECT order_id, NULL::BIGINT AS customer_id, NULL::DATE AS order_dt, amount, status FROM {ORDERS}")
+def load_columns(spark, sf):
+    # A load of some columns leaves the others NULL.
+    target = _orders_table(spark)
+    load(orders(spark, sf), target, ["status", "order_id", "amount"])
+    return spark.table(target)
+
+
+@check(PER_STATUS)
+def truncate_reload(spark, sf):
+    target = _orders_table(spark)
+    load(orders(spark, sf).where("status = 'O'"), target)
+    truncate(spark, target)
+    load(orders(spark, sf), target)
+    return _per_status(spark.table(target))
+
+
+@check(
+    f"""SELECT status, count(*) AS n, CAST(sum(CASE WHEN status = 'F' THEN amount + 1 ELSE amount END)
+AS DECIMAL(18,2)) AS amount FROM {ORDERS} GROUP BY status"""
+)
+def load_replace_partition(spark, sf):
+    # The second load replaces the partition it touches and leaves the others alone.
+    target = _orders_table(spark, partitioned=True)
+    load(orders(spark, sf), target)
+    new = orders(spark, sf).where("status = 'F'")
+    raised = (F.col("amount") + 1).cast("decimal(18,2)")
+    load(new.withColumn("amount", raised), target, mode="replace_partition")
+    return _per_status(spark.table(target))
+
+
+@check(
+    f"""SELECT 'append' AS mode, CAST(count(*) AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected,
+       false AS published, CAST(0 AS BIGINT) AS rows_in_target FROM {ORDERS}"""
+)
+def load_dry_run_report(spark, sf):
+    target = _orders_table(spark)
+    result = load(orders(spark, sf), target, dry_run=True)
+    stored = spark.table(target).agg(F.count(F.lit(1)).alias("rows_in_target"))
+    return result.report(spark).drop("target").crossJoin(F.broadcast(stored))
+
+
+@check(
+    f"""SELECT CASE WHEN order_id % 75 = 0 THEN 'order_dt: not a date' ELSE 'amount: not a decimal(18,2)' END
+         AS reject_reason,
+       order_id || chr(9) || customer_id || chr(9) ||
+       CASE WHEN order_id % 75 = 0 THEN '1998-13-01' ELSE CAST(order_dt AS VARCHAR) END || chr(9) ||
+       CASE WHEN order_id % 50 = 0 THEN 'bad' ELSE CAST(amount AS VARCHAR) END || chr(9) || status
+         AS reject_line
+FROM {ORDERS} WHERE order_id % 50 = 0 OR order_id % 75 = 0"""
+)
+def load_rejects(spark, sf):
+    feed = _spoiled_feed(spark, sf)
+    return load(feed, shared_folder(spark, "target"), reject_limit=10**12).errors
+
+
+@check(f"SELECT * FROM {ORDERS} WHERE order_id % 50 <> 0 AND order_id % 75 <> 0")
+def load_good(spark, sf):
+    target = _orders_table(spark)
+    load(_spoiled_feed(spark, sf), target, reject_limit=10**12)
+    return spark.table(target)
+
+
+@check(f"SELECT CAST(count(*) AS BIGINT) AS affected_rows FROM {ORDERS}")
+def affected_rows(spark, sf):
+    rows = write_counted(orders(spark, sf), shared_folder(spark, "target"))
+    return spark.createDataFrame([(rows,)], "affected_rows bigint")
+
+
+@check(PER_STATUS)
+def stream_ingest(spark, sf):
+    source, target, checkpoint = (shared_folder(spark, n) for n in ("source", "target", "checkpoint"))
+    data = orders(spark, sf)
+    for run, part in (("run-1", "status <> 'O'"), ("run-2", "status = 'O'")):
+        write_feed(data.where(part), f"{source}/{run}", LOAD_FORMAT, gzip=True, files=3)
+        ingest_stream(spark, source, ORDERS_SCHEMA, target, checkpoint).awaitTermination()
+    # A run without news adds nothing.
+    ingest_stream(spark, source, ORDERS_SCHEMA, target, checkpoint).awaitTermination()
+    return _per_status(spark.read.schema(ORDERS_SCHEMA).parquet(target))
+
+
+def _bucketed_pair(spark, sf):
+    database = scratch_database(spark)
+    lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "order_id")
+    distribution.write_distributed(orders(spark, sf), f"{database}.orders", 16, ["order_id"])
+    distribution.write_distributed(
+        lines.select("order_id", "l_quantity"), f"{database}.lines", 16, ["order_id"]
+    )
+    return f"{database}.orders", f"{database}.lines"
+
+
+@check(
+    f"""SELECT status, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS quantity
+FROM {ORDERS} JOIN lineitem ON l_orderkey = order_id GROUP BY status"""
+)
+def bucketed_join(spark, sf):
+    left, right = _bucketed_pair(spark, sf)
+    joined = distribution.distributed_join(spark, left, right, ["order_id"])
+    return joined.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("quantity"),
+    )
+
+
+@check(PER_STATUS)
+def redistribute(spark, sf):
+    database = scratch_database(spark)
+    distribution.write_distributed(orders(spark, sf), f"{database}.orders", 8)
+    distribution.redistribute(spark, f"{database}.orders", 16, ["customer_id"])
+    return _per_status(spark.table(f"{database}.orders"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -68,6 +69,16 @@ def _aligned(df: DataFrame, target: str, columns: Sequence[str] | None) -> DataF
     )
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_counted(
     df: DataFrame, target: str, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> int:
@@ -85,14 +96,20 @@ def write_counted(
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
     replace = mode == "replace_partition"
-    if replace:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if not _is_path(target):
-        writer.insertInto(target, overwrite=replace)
-    else:
+    if _is_path(target):
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if replace:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
+    elif not replace:
+        writer.insertInto(target)
+    elif not spread_by:
+        raise ValueError(f"replace_partition needs a partitioned table, {target} is not")
+    else:
+        # An insert into a table takes the overwrite mode from the session only.
+        with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            writer.insertInto(target, overwrite=True)
     return counted.get.get("rows", 0)
 
 

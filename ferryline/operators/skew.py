@@ -58,7 +58,7 @@ def _column_estimate(df: DataFrame, names: Sequence[str], error: float) -> DataF
     profiles = []
     for name in names:
         column = quoted(name)
-        top = F.get(F.approx_top_k(column, 1), F.lit(0))
+        top = F.get(F.call_function("approx_top_k", column, F.lit(1)), F.lit(0))
         profiles.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -131,6 +131,26 @@ def skew_grade(skew_pct: Column) -> Column:
     )
 
 
+def _evenness() -> list[Column]:
+    """Figures over ``rows`` per segment, where a segment without rows has NULL."""
+    rows, all_rows = F.col("rows"), F.coalesce("rows", F.lit(0))
+
+    def spread(counts: Column) -> Column:
+        return F.stddev_samp(counts) / F.nullif(F.avg(counts), F.lit(0.0)) * 100
+
+    over = (F.max(rows) / F.nullif(F.avg(rows), F.lit(0.0)) - 1) * 100
+    return [
+        F.count(rows).alias("segments_with_data"),
+        F.count_if(rows.isNull()).alias("empty_segments"),
+        F.min(rows).alias("min_rows"),
+        F.max(rows).alias("max_rows"),
+        F.round(F.avg(rows), 1).alias("avg_rows"),
+        F.round(spread(rows), 2).alias("skew_pct"),
+        F.round(over, 2).alias("max_over_avg_pct"),
+        F.round(spread(all_rows), 2).alias("skew_pct_all"),
+    ]
+
+
 def skew_summary(rows_per_segment: DataFrame, segments: int) -> DataFrame:
     """One row on the evenness of ``segment, rows``.
 
@@ -140,36 +160,41 @@ def skew_summary(rows_per_segment: DataFrame, segments: int) -> DataFrame:
     # Both sides have at most one row per segment.
     every = rows_per_segment.sparkSession.range(segments).select(F.col("id").cast("int").alias("segment"))
     joined = every.join(rows_per_segment, "segment", "left")
-    rows, all_rows = F.col("rows"), F.coalesce("rows", F.lit(0))
-    spread = F.stddev_samp(rows) / F.nullif(F.avg(rows), F.lit(0.0)) * 100
-    spread_all = F.stddev_samp(all_rows) / F.nullif(F.avg(all_rows), F.lit(0.0)) * 100
-    over = (F.max(rows) / F.nullif(F.avg(rows), F.lit(0.0)) - 1) * 100
-    return joined.agg(
-        F.count(rows).alias("segments_with_data"),
-        F.count_if(rows.isNull()).alias("empty_segments"),
-        F.min(rows).alias("min_rows"),
-        F.max(rows).alias("max_rows"),
-        F.round(F.avg(rows), 1).alias("avg_rows"),
-        F.round(spread, 2).alias("skew_pct"),
-        F.round(over, 2).alias("max_over_avg_pct"),
-        F.round(spread_all, 2).alias("skew_pct_all"),
-        skew_grade(F.round(spread_all, 2)).alias("grade"),
-    )
+    return joined.agg(*_evenness()).withColumn("grade", skew_grade(F.col("skew_pct_all")))
 
 
 def table_skew(
     tables: Sequence[tuple[str, DataFrame, Sequence[str]]], segments: int, k: int = 20, portable: bool = True
 ) -> DataFrame:
-    """The ``k`` most unevenly spread of the given (name, table, keys)."""
-    coefficients = [
-        skew_summary(segment_rows(df, keys, segments, portable), segments).select(
+    """The ``k`` most unevenly spread of the given (name, table, keys).
+
+    The tables are reduced to their rows per segment; everything after that handles
+    ``segments`` small rows per table.
+    """
+    names = ["table_name", "distribution_key"]
+    pairs = [(name, ",".join(keys)) for name, _, keys in tables]
+    placed = _union(
+        df.select(
             F.lit(name).alias("table_name"),
-            F.lit(",".join(keys)).alias("distribution_key"),
-            F.col("skew_pct_all").alias("skew_coeff"),
+            F.lit(key).alias("distribution_key"),
+            segment_of([quoted(c) for c in keys], segments, portable).alias("segment"),
         )
-        for name, df, keys in tables
-    ]
-    return _union(coefficients).orderBy(F.desc("skew_coeff"), "table_name", "distribution_key").limit(k)
+        for (name, key), (_, df, keys) in zip(pairs, tables)
+    )
+    # One aggregation over the union: every task counts its rows before the only shuffle.
+    counted = placed.groupBy(*names, "segment").agg(F.count(F.lit(1)).alias("rows"))
+    every_segment = F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("segment")
+    every = counted.sparkSession.createDataFrame(pairs, "table_name string, distribution_key string").select(
+        *names, every_segment
+    )
+    return (
+        every.join(counted, [*names, "segment"], "left")
+        .groupBy(*names)
+        .agg(*_evenness())
+        .select(*names, F.col("skew_pct_all").alias("skew_coeff"))
+        .orderBy(F.desc("skew_coeff"), *names)
+        .limit(k)
+    )
 
 
 def partition_rows(df: DataFrame, by: str = "file") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,7 @@ def _typed(
     broken: Column,
     line: Column,
     on_error: str,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Cast raw fields. ``decode`` gives the text of a raw field, NULL for the marker."""
     if on_error == "fail":
@@ -60,7 +61,8 @@ def _typed(
             *[
                 _strict_value(decode(raw), f, len(schema), broken, line).alias(f.name)
                 for raw, f in zip(raws, schema)
-            ]
+            ],
+            *keep,
         )
     if on_error != "flag":
         raise ValueError("on_error is 'fail' or 'flag'")
@@ -75,6 +77,7 @@ def _typed(
             ).alias(f"__{i}")
             for i, (raw, f) in enumerate(zip(raws, schema))
         ],
+        *keep,
     )
     reasons = [F.when(F.col("__broken"), F.lit(f"not {len(schema)} fields"))]
     for i, f in enumerate(schema):
@@ -84,6 +87,7 @@ def _typed(
     reason = F.coalesce(*reasons)
     return staged.select(
         *[F.col(f"__{i}.value").alias(f.name) for i, f in enumerate(schema)],
+        *keep,
         reason.alias(REJECT_REASON),
         F.when(reason.isNotNull(), F.col(_LINE)).alias(REJECT_LINE),
     )
@@ -109,7 +113,11 @@ def _strict_value(
 
 
 def parse_lines(
-    lines: DataFrame, schema: T.StructType, fmt: FeedFormat = FeedFormat(), on_error: str = "fail"
+    lines: DataFrame,
+    schema: T.StructType,
+    fmt: FeedFormat = FeedFormat(),
+    on_error: str = "fail",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Turn records (column ``value``) of an unquoted feed into typed columns.
 
@@ -117,10 +125,10 @@ def parse_lines(
     a column the query uses, stops the query. ``on_error="flag"``: malformed records
     stay in and carry ``reject_reason`` and ``reject_line``.
 
-    Works on batch and streaming frames.
+    Works on batch and streaming frames; ``keep`` passes other columns through.
     """
     split = lines.select(
-        F.col("value").alias(_LINE), _split_fields(F.col("value"), fmt).alias(_FIELDS)
+        F.col("value").alias(_LINE), _split_fields(F.col("value"), fmt).alias(_FIELDS), *keep
     )
     raws = [F.get(F.col(_FIELDS), F.lit(i)) for i in range(len(schema))]
 
@@ -128,7 +136,7 @@ def parse_lines(
         return F.when(raw != fmt.written_null, _unescape(raw, fmt))
 
     broken = F.size(_FIELDS) != len(schema)
-    return _typed(split, raws, decode, schema, broken, F.col(_LINE), on_error)
+    return _typed(split, raws, decode, schema, broken, F.col(_LINE), on_error, keep)
 
 
 def _header_is_distinct(schema: T.StructType, fmt: FeedFormat) -> bool:
@@ -190,8 +198,19 @@ def read_feed(
     *,
     recursive: bool = True,
     on_error: str = "fail",
+    partition_columns: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read everything below ``path`` with a declared schema; nothing is inferred."""
+    """Read everything below ``path`` with a declared schema; nothing is inferred.
+
+    ``partition_columns`` (name to type) are values of ``name=value`` directories,
+    added as columns; a filter on them prunes directories.
+    """
+    if partition_columns:
+        if fmt.quote or fmt.header:
+            raise ValueError("partitioned feeds are unquoted and have no header")
+        declared = ", ".join(["value string", *[f"`{n}` {t}" for n, t in partition_columns.items()]])
+        lines = spark.read.schema(declared).option("lineSep", fmt.line_sep).text(path)
+        return parse_lines(lines, schema, fmt, on_error, list(partition_columns))
     if fmt.quote:
         return _read_quoted(spark, path, schema, fmt, recursive, on_error)
     lines = feed_lines(spark, path, fmt, recursive)
