@@ -54,7 +54,7 @@ def key_scan_estimate(spark, sf):
 )
 def approx_ndv(spark, sf):
     lines = table(spark, sf, "lineitem")
-    estimate = skew.approx_ndv(lines, LINE_COLUMNS[:-1], error=0.01)
+    estimate = skew.approx_ndv(lines, LINE_COLUMNS[:-1])
     exact = skew.key_scan(lines, SEGMENTS).select("column_name", F.col("ndv").alias("exact_ndv"))
     close = F.abs(F.col("ndv") - F.col("exact_ndv")) <= 0.05 * F.col("exact_ndv")
     return exact.join(estimate, "column_name").select(
@@ -139,7 +139,8 @@ SKEW_TABLES = [
     + " ORDER BY skew_coeff DESC, table_name, distribution_key LIMIT 20"
 )
 def table_skew_topk(spark, sf):
-    return skew.table_skew([(t, table(spark, sf, t), [k]) for t, k in SKEW_TABLES], SEGMENTS)
+    tables = {t: table(spark, sf, t) for t, _ in SKEW_TABLES}
+    return skew.table_skew([(t, tables[t], [k]) for t, k in SKEW_TABLES], SEGMENTS)
 
 
 @check(f"SELECT 'status=' || status AS folder, count(*) AS rows FROM {ORDERS} GROUP BY status")

@@ -11,28 +11,17 @@ def _double_text(value: Column) -> Column:
     """A double in the spelling of the feed: ``0.1``, ``12345678.0``, ``1e+20``, ``nan``.
 
     Spark prints the same shortest digits but switches to ``1.0E7`` style earlier.
+    Kept short, as a table may have many such columns in one compiled method.
     """
-    spark_text = value.cast("string")
-    size = F.abs(value)
-
-    def plain(decimal: str) -> Column:
-        digits = F.regexp_replace(value.try_cast(decimal).cast("string"), "0+$", "")
-        return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-
-    mantissa = F.regexp_replace(F.substring_index(spark_text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(spark_text, "E", -1)
-    shown = F.when(
-        exponent.startswith("-"),
-        F.concat(F.lit("-"), F.lpad(F.substring(exponent, 2, 3), F.greatest(F.length(exponent) - 1, F.lit(2)), F.lit("0"))),
-    ).otherwise(F.concat(F.lit("+"), exponent))
-    scientific = F.concat(mantissa, F.lit("e"), shown)
+    text, size = value.cast("string"), F.abs(value)
+    # 16 digits before and 22 after the point hold every double of this range.
+    digits = F.regexp_replace(value.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    for old, new in ((".0E", "E"), ("E-", "e-"), ("E", "e+"), ("Infinity", "inf"), ("NaN", "nan")):
+        text = F.replace(text, F.lit(old), F.lit(new))
     return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(~spark_text.contains("E"), spark_text)
-        .when((size >= 1e7) & (size < 1e16), plain("decimal(38,18)"))
-        .when((size < 1e-3) & (size >= 1e-4), plain("decimal(38,30)"))
-        .otherwise(scientific)
+        F.when((size >= 1e-3) & (size < 1e7), value.cast("string"))
+        .when((size >= 1e-4) & (size < 1e16), digits)
+        .otherwise(F.regexp_replace(text, r"e-(\d)$", "e-0$1"))
     )
 
 

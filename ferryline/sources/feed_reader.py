@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferryline.functions.cells import quoted
 from ferryline.sources.feed_format import BYTE_ORDER_MARK, FeedFormat
 
 REJECT_REASON = "reject_reason"
@@ -18,10 +19,6 @@ _FIELDS = "__fields"
 _LINE = "__line"
 
 
-def _one_of(character: str) -> str:
-    return "[" + re.escape(character) + "]"
-
-
 def _split_fields(line: Column, fmt: FeedFormat) -> Column:
     """Raw fields of a record, still escaped.
 
@@ -38,78 +35,83 @@ def _split_fields(line: Column, fmt: FeedFormat) -> Column:
     return F.when(line.contains(fmt.escape), careful).otherwise(plain)
 
 
-def _unescape(text: Column, fmt: FeedFormat) -> Column:
+def _decoded_fields(line: Column, fmt: FeedFormat) -> Column:
+    """Texts of a record's fields, NULL for the marker.
+
+    The work per field sits in a lambda. Spelled out per column it would grow past
+    the size the JVM compiles, which costs far more than the lambda.
+    """
+    pair = "[" + re.escape(fmt.escape) + r"]([\s\S])"
+
+    def text(raw: Column) -> Column:
+        return F.when(raw != fmt.written_null, raw)
+
+    def unescaped(raw: Column) -> Column:
+        return F.when(raw != fmt.written_null, F.regexp_replace(raw, pair, "$1"))
+
+    fields = _split_fields(line, fmt)
     if not fmt.escape:
-        return text
-    plain = F.regexp_replace(text, _one_of(fmt.escape) + r"([\s\S])", "$1")
-    return F.when(text.contains(fmt.escape), plain).otherwise(text)
+        return F.transform(fields, text)
+    return F.when(line.contains(fmt.escape), F.transform(fields, unescaped)).otherwise(
+        F.transform(fields, text)
+    )
 
 
 def _typed(
-    source: DataFrame,
-    raws: list[Column],
-    decode: Callable[[Column], Column],
-    schema: T.StructType,
-    broken: Column,
-    line: Column,
-    on_error: str,
-    keep: Sequence[str] = (),
+    records: DataFrame, schema: T.StructType, broken: Column, on_error: str, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Cast raw fields. ``decode`` gives the text of a raw field, NULL for the marker."""
+    """Cast the fields (``__fields``) of records (``__line``) to the declared types."""
+    if on_error not in ("fail", "flag"):
+        raise ValueError("on_error is 'fail' or 'flag'")
+    width = len(schema)
+    is_text = [isinstance(f.dataType, T.StringType) for f in schema]
     if on_error == "fail":
-        return source.select(
-            *[
-                _strict_value(decode(raw), f, len(schema), broken, line).alias(f.name)
-                for raw, f in zip(raws, schema)
-            ],
+        stop = F.raise_error(F.concat(F.lit(f"bad feed record, not {width} fields: "), F.col(_LINE)))
+        sound = F.when(broken, stop).otherwise(F.col(_FIELDS))
+        return records.select(sound.alias(_FIELDS), *keep).select(
+            *[_strict_cast(_field(i), f, records.sparkSession).alias(f.name) for i, f in enumerate(schema)],
             *keep,
         )
-    if on_error != "flag":
-        raise ValueError("on_error is 'fail' or 'flag'")
-    # Two steps, so that each value is parsed once and the second step only looks
-    # for values that came out as NULL.
-    staged = source.select(
-        line.alias(_LINE),
+    # In two steps each value is parsed once: the second looks for given texts that
+    # came out as NULL.
+    parsed = records.select(
+        _FIELDS,
+        _LINE,
         broken.alias("__broken"),
-        *[
-            F.struct(
-                _cast(decode(raw), f).alias("value"), decode(raw).isNotNull().alias("given")
-            ).alias(f"__{i}")
-            for i, (raw, f) in enumerate(zip(raws, schema))
-        ],
         *keep,
+        *[(_field(i) if is_text[i] else _field(i).try_cast(f.dataType)).alias(f"__{i}") for i, f in enumerate(schema)],
     )
-    reasons = [F.when(F.col("__broken"), F.lit(f"not {len(schema)} fields"))]
+    reasons = [F.when(F.col("__broken"), F.lit(f"not {width} fields"))]
     for i, f in enumerate(schema):
-        if not isinstance(f.dataType, T.StringType):
-            bad = F.col(f"__{i}.given") & F.col(f"__{i}.value").isNull()
-            reasons.append(F.when(bad, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
-    reason = F.coalesce(*reasons)
-    return staged.select(
-        *[F.col(f"__{i}.value").alias(f.name) for i, f in enumerate(schema)],
+        if not is_text[i]:
+            wrong = F.col(f"__{i}").isNull() & _field(i).isNotNull()
+            reasons.append(F.when(wrong, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
+    return parsed.select(
+        *[F.col(f"__{i}").alias(f.name) for i, f in enumerate(schema)],
+        *keep,
+        F.coalesce(*reasons).alias(REJECT_REASON),
+        _LINE,
+    ).select(
+        *[quoted(n) for n in schema.names],
         *keep,
-        reason.alias(REJECT_REASON),
-        F.when(reason.isNotNull(), F.col(_LINE)).alias(REJECT_LINE),
+        REJECT_REASON,
+        F.when(F.col(REJECT_REASON).isNotNull(), F.col(_LINE)).alias(REJECT_LINE),
     )
 
 
-def _cast(text: Column, field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
-        return text
-    return text.try_cast(field.dataType)
-
+def _field(index: int) -> Column:
+    return F.get(F.col(_FIELDS), F.lit(index))
 
-def _strict_value(
-    text: Column, field: T.StructField, width: int, broken: Column, line: Column
-) -> Column:
-    def stop(reason: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"bad feed record, {reason}: "), line))
 
-    value = _cast(text, field)
-    if not isinstance(field.dataType, T.StringType):
-        wrong = F.when(text.isNotNull(), stop(f"{field.name} is not a {field.dataType.simpleString()}"))
-        value = F.coalesce(value, wrong.cast(field.dataType))
-    return F.when(broken, stop(f"not {width} fields")).otherwise(value)
+def _strict_cast(text: Column, field: T.StructField, spark: SparkSession) -> Column:
+    """A cast that stops on a bad value, also where the session's casts give NULL."""
+    if isinstance(field.dataType, T.StringType):
+        return text
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        return text.cast(field.dataType)
+    reason = F.concat(F.lit(f"bad feed record, {field.name} is not a {field.dataType.simpleString()}: "), text)
+    wrong = F.when(text.isNotNull(), F.raise_error(reason).cast(field.dataType))
+    return F.coalesce(text.try_cast(field.dataType), wrong)
 
 
 def parse_lines(
@@ -127,16 +129,10 @@ def parse_lines(
 
     Works on batch and streaming frames; ``keep`` passes other columns through.
     """
-    split = lines.select(
-        F.col("value").alias(_LINE), _split_fields(F.col("value"), fmt).alias(_FIELDS), *keep
+    records = lines.select(
+        F.col("value").alias(_LINE), _decoded_fields(F.col("value"), fmt).alias(_FIELDS), *keep
     )
-    raws = [F.get(F.col(_FIELDS), F.lit(i)) for i in range(len(schema))]
-
-    def decode(raw: Column) -> Column:
-        return F.when(raw != fmt.written_null, _unescape(raw, fmt))
-
-    broken = F.size(_FIELDS) != len(schema)
-    return _typed(split, raws, decode, schema, broken, F.col(_LINE), on_error, keep)
+    return _typed(records, schema, F.size(_FIELDS) != len(schema), on_error, keep)
 
 
 def _header_is_distinct(schema: T.StructType, fmt: FeedFormat) -> bool:
@@ -244,11 +240,11 @@ def _read_quoted(
         .option("recursiveFileLookup", str(recursive).lower())
         .csv(path)
     )
-    raws = [F.coalesce(F.col(name), F.lit("")) for name in texts]
-
-    def decode(raw: Column) -> Column:
-        return F.when(raw != fmt.null_marker, raw)
-
     # A record of valid shape has no raw line; its fields stand in for one.
-    line = F.coalesce(F.col(_LINE), F.concat_ws(fmt.delimiter, *raws))
-    return _typed(frame, raws, decode, schema, F.col(_LINE).isNotNull(), line, on_error)
+    fields = [F.coalesce(F.col(name), F.lit("")) for name in texts]
+    line = F.coalesce(F.col(_LINE), F.concat_ws(fmt.delimiter, *fields))
+    given = F.transform(F.array(*fields), lambda raw: F.when(raw != fmt.null_marker, raw))
+    records = frame.select(
+        line.alias(_LINE), given.alias(_FIELDS), F.col(_LINE).isNotNull().alias("__broken")
+    )
+    return _typed(records, schema, F.col("__broken"), on_error)

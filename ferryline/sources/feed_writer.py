@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferryline.functions.cells import feed_text, quoted
 from ferryline.sources.feed_format import BYTE_ORDER_MARK, FeedFormat
@@ -14,6 +15,11 @@ from ferryline.sources.feed_format import BYTE_ORDER_MARK, FeedFormat
 ROW_IN_PARTITION = (1 << 33) - 1
 
 
+# All characters of numbers, dates, times and truth values; they need no escaping
+# unless the feed uses one of them as its delimiter or escape character.
+PLAIN_CHARACTERS = "0123456789+-.: einfaTruFls"
+
+
 def row_in_partition() -> Column:
     return F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
 
@@ -44,10 +50,15 @@ def _quoted_if_needed(text: Column, fmt: FeedFormat) -> Column:
 def feed_line(df: DataFrame, fmt: FeedFormat = FeedFormat()) -> Column:
     """One record of the feed, without its line end."""
     encode = _quoted_if_needed if fmt.quote else _escaped
-    cells = [
-        F.coalesce(encode(feed_text(quoted(f.name), f.dataType), fmt), F.lit(fmt.written_null))
-        for f in df.schema
-    ]
+
+    def cell(field: T.StructField) -> Column:
+        text = feed_text(quoted(field.name), field.dataType)
+        plain = not isinstance(field.dataType, T.StringType) and not any(
+            c in PLAIN_CHARACTERS for c in fmt.specials
+        )
+        return F.coalesce(text if plain else encode(text, fmt), F.lit(fmt.written_null))
+
+    cells = [cell(f) for f in df.schema]
     if len(cells) > 1:
         return F.concat_ws(fmt.delimiter, *cells)
     if fmt.quote:
@@ -110,7 +121,8 @@ def write_feed(
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     line = feed_line(df.drop(*partition_by), fmt)
     if first_line:
-        line = F.when(row_in_partition() == 0, F.concat(F.lit(first_line), line)).otherwise(line)
+        leads = F.when(row_in_partition() == 0, F.lit(first_line)).otherwise(F.lit(""))
+        line = F.concat(leads, line)
     lines = df.select(line.alias("value"), *[quoted(c) for c in partition_by])
 
     def save(frame: DataFrame, save_mode: str) -> None:
