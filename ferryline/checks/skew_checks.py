@@ -139,7 +139,7 @@ SKEW_TABLES = [
     + " ORDER BY skew_coeff DESC, table_name, distribution_key LIMIT 20"
 )
 def table_skew_topk(spark, sf):
-    tables = {t: table(spark, sf, t) for t, _ in SKEW_TABLES}
+    tables = {t: table(spark, sf, t) for t in dict.fromkeys(t for t, _ in SKEW_TABLES)}
     return skew.table_skew([(t, tables[t], [k]) for t, k in SKEW_TABLES], SEGMENTS)
 
 

@@ -18,6 +18,7 @@ def segment_of(keys: Sequence[str | Column], segments: int, portable: bool = Tru
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     if not portable:
         return F.pmod(F.hash(*columns), F.lit(segments)).cast("int")
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    text = texts[0] if len(texts) == 1 else F.concat_ws("|", *texts)
     number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return F.pmod(number, F.lit(segments)).cast("int")

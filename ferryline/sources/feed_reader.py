@@ -230,6 +230,8 @@ def _read_quoted(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", "true")
+        # Declared, as a detected line end would also replace those inside values.
+        .option("lineSep", fmt.line_sep)
         .option("header", str(fmt.header).lower())
         .option("enforceSchema", "true")
         .option("nullValue", "")
