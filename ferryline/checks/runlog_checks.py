@@ -15,12 +15,12 @@ DECLARED = ["view", "click", "purchase"]
     GROUP BY ALL HAVING sum(seconds) > 0),
 n AS (SELECT *, row_number() OVER (PARTITION BY run_id
     ORDER BY coalesce(nullif(list_position({DECLARED}, phase), 0), {len(DECLARED) + 1}), first, phase) AS place FROM p),
-m AS (SELECT run_id, CAST(sum(seconds) AS DECIMAL(18,3)) AS measured FROM p GROUP BY run_id),
-l AS (SELECT run_id, place, phase, seconds, total_seconds FROM n JOIN {RUNS} USING (run_id)
-  UNION ALL SELECT run_id, NULL, 'other', total_seconds - measured, total_seconds FROM m JOIN {RUNS} USING (run_id)
+m AS (SELECT run_id, count(*) AS n, CAST(sum(seconds) AS DECIMAL(18,3)) AS measured FROM p GROUP BY run_id),
+l AS (SELECT run_id, place AS line_no, place, phase, seconds, total_seconds FROM n JOIN {RUNS} USING (run_id)
+  UNION ALL SELECT run_id, n + 1, NULL, 'other', total_seconds - measured, total_seconds FROM m JOIN {RUNS} USING (run_id)
     WHERE total_seconds - measured > 0.001
-  UNION ALL SELECT run_id, NULL, 'total', total_seconds, total_seconds FROM m JOIN {RUNS} USING (run_id))
-SELECT run_id, CAST(place AS INTEGER) AS place, phase, CAST(seconds AS DECIMAL(18,3)) AS seconds,
+  UNION ALL SELECT run_id, n + 2, NULL, 'total', total_seconds, total_seconds FROM m JOIN {RUNS} USING (run_id))
+SELECT run_id, CAST(line_no AS INTEGER) AS line_no, CAST(place AS INTEGER) AS place, phase, CAST(seconds AS DECIMAL(18,3)) AS seconds,
   round(coalesce(CAST(seconds AS DOUBLE) / nullif(CAST(total_seconds AS DOUBLE), 0) * 100, 0), 1) AS share_pct FROM l"""
 )
 def phase_breakdown(spark, sf):

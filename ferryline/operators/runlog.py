@@ -31,7 +31,8 @@ def phase_breakdown(
 
     Declared phases come first in their order, others in the order of their first
     use (column ``first_use``, or by name). Phases of zero seconds do not appear, and
-    runs without any phase do not appear at all.
+    runs without any phase do not appear at all. ``line_no`` is the order of the
+    report; ``place`` numbers its phases only.
 
     All per-row work is one partial aggregation by (run, phase); what remains is one
     row per phase of a run.
@@ -50,22 +51,24 @@ def phase_breakdown(
     placed = (
         per_phase.withColumn("place", F.row_number().over(run.orderBy(rank, "first", "phase")))
         .withColumn("measured", F.sum("seconds").over(run))
+        .withColumn("phases", F.count(F.lit(1)).over(run))
         .join(runs.select("run_id", F.col("total_seconds").alias("whole")), "run_id")
     )
 
-    def line(place: Column, label: Column, seconds: Column) -> Column:
+    def line(number: Column, place: Column, label: Column, seconds: Column) -> Column:
         seconds = seconds.cast("decimal(18,3)")
         return F.struct(
+            number.cast("int").alias("line_no"),
             place.cast("int").alias("place"),
             label.alias("phase"),
             seconds.alias("seconds"),
             _share(seconds, F.col("whole")).alias("share_pct"),
         )
 
-    own = line(F.col("place"), F.col("phase"), F.col("seconds"))
+    own = line(F.col("place"), F.col("place"), F.col("phase"), F.col("seconds"))
     rest = F.col("whole") - F.col("measured")
-    other = line(F.lit(None), F.lit(other_label), rest)
-    total = line(F.lit(None), F.lit(total_label), F.col("whole"))
+    other = line(F.col("phases") + 1, F.lit(None), F.lit(other_label), rest)
+    total = line(F.col("phases") + 2, F.lit(None), F.lit(total_label), F.col("whole"))
     # The first phase of a run also brings the closing lines.
     lines = (
         F.when((F.col("place") == 1) & (rest > SMALLEST_OTHER), F.array(own, other, total))

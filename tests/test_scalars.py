@@ -46,8 +46,8 @@ def test_padding_never_cuts(spark):
 
 
 def test_uri(spark):
-    given = ["s3://dw-stage/impl/orders.csv", "s3://dw-stage", "dw-stage/key", "http://x/y", "s3://", "/tmp/a", None]
-    want = [("dw-stage", "impl/orders.csv"), ("dw-stage", ""), None, None, None, None, None]
+    given = ["s3://stage-bucket/impl/orders.csv", "s3://stage-bucket", "stage-bucket/key", "http://x/y", "s3://", "/tmp/a", None]
+    want = [("stage-bucket", "impl/orders.csv"), ("stage-bucket", ""), None, None, None, None, None]
     got = values(spark, fx.uri_parts, given)
     assert [(r.bucket, r.key) if r.valid else None for r in got] == want
 
