@@ -60,6 +60,26 @@ def dir_rollup(spark, sf):
     return inv.child_directories(inventory(spark, sf), "orders")
 
 
+RUN_LISTING = f"""(SELECT key, size FROM {INVENTORY}
+  UNION ALL SELECT DISTINCT 'orders/' || strftime(ts, '%Y-%m-%d') || '/_DONE', 0 FROM events WHERE day(ts) % 3 > 0)"""
+
+
+@check(
+    f"""SELECT 'orders/' || split_part(key, '/', 2) || '/' AS run, bool_or(ends_with(key, '/_DONE')) AS done,
+  count(*) FILTER (WHERE NOT ends_with(key, '/_DONE') AND NOT ends_with(key, '/')) AS objects,
+  CAST(sum(size) AS BIGINT) AS total_bytes FROM {RUN_LISTING} GROUP BY 1"""
+)
+def run_states(spark, sf):
+    day = F.date_format("ts", "yyyy-MM-dd")
+    markers = (
+        table(spark, sf, "events")
+        .where(F.dayofmonth("ts") % 3 > 0)
+        .select(F.concat(F.lit("orders/"), day, F.lit("/_DONE")).alias("key"), F.lit(0).alias("size"))
+        .distinct()
+    )
+    return inv.run_states(inventory(spark, sf).select("key", "size").unionByName(markers), "orders")
+
+
 @check(
     f"SELECT key, size, last_modified FROM {INVENTORY} WHERE last_modified < TIMESTAMP '2024-01-31' - INTERVAL 252 HOUR"
 )
@@ -158,6 +178,14 @@ def file_head(spark, sf):
     return inv.file_head(spark, path, 3, "\r\n").withColumn("file", F.substring_index("file", "/", -2))
 
 
+@check("SELECT CAST(1 AS INTEGER) AS line_no, 'order_id`customer_id`order_dt`amount`status' AS value")
+def file_head_header(spark, sf):
+    path = shared_folder(spark, "feed")
+    write_feed(orders(spark, sf), f"{path}/plain", files=4)
+    write_feed(orders(spark, sf), f"{path}/packed", gzip=True, files=4)
+    return inv.file_head(spark, path, 1, "\r\n").select("line_no", "value").distinct()
+
+
 @check(
     f"""WITH e AS (SELECT DISTINCT 'orders/' || strftime(ts, '%Y-%m-%d') || '/part-' || (event_id + 1) || '.csv' AS key,
    event_id % 13 = 0 AS refused FROM events)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ferryline.checks.registry import ORDERS, check, md5_bucket, orders, table
 from ferryline.functions.segments import segment_of
-from ferryline.operators.preview import preview, preview_cells, vertical_rows
+from ferryline.operators import preview as pv
 from ferryline.plans.catalog import QUERIES, parse_parameters, run_query
 from ferryline.runtime import scratch_database
 from ferryline.sources.profiles import scan
@@ -176,12 +176,13 @@ def left_join_default(spark, sf):
 FROM {ORDERS} CROSS JOIN (SELECT count(*) AS rows FROM {ORDERS}) GROUP BY status"""
 )
 def cross_join_scalar(spark, sf):
+    # The one-row relation comes in as a scalar subquery, not as a join.
     data = orders(spark, sf)
-    one_row = data.agg(F.count(F.lit(1)).alias("total_rows"))  # always one row
+    total = data.agg(F.count(F.lit(1)).alias("total_rows")).scalar()
     return (
         data.groupBy("status")
         .agg(F.count(F.lit(1)).alias("n"))
-        .crossJoin(F.broadcast(one_row))
+        .withColumn("total_rows", total)
         .withColumn("share", F.round(F.col("n") / F.col("total_rows"), 4))
     )
 
@@ -271,12 +272,12 @@ def unicode_alias(spark, sf):
 )
 def preview_truncated(spark, sf):
     ordered = orders(spark, sf).select("order_id", "amount").orderBy(F.desc("amount"), "order_id")
-    return preview(ordered)
+    return pv.preview(ordered)
 
 
 @check(f"SELECT order_id, amount, false AS truncated FROM {ORDERS}")
 def preview_all(spark, sf):
-    return preview(orders(spark, sf).select("order_id", "amount"), max_rows=0)
+    return pv.preview(orders(spark, sf).select("order_id", "amount"), max_rows=0)
 
 
 @check(
@@ -290,7 +291,7 @@ def format_cells(spark, sf):
     data = orders(spark, sf).select(
         "order_id", k.alias("k"), "amount", "order_dt", (F.col("amount") > 100000).alias("big")
     )
-    return preview_cells(data, max_rows=0)
+    return pv.preview_cells(data, max_rows=0)
 
 
 @check(
@@ -303,7 +304,7 @@ UNION ALL SELECT record_no, 4, 'k', coalesce(CAST(nullif(customer_id % 7, 0) AS
 def vertical_all(spark, sf):
     k = F.nullif(F.col("customer_id") % 7, F.lit(0))
     data = orders(spark, sf).select("order_id", "order_dt", "amount", k.alias("k"))
-    return vertical_rows(data, ["order_id"], max_rows=0, null_text="(null)")
+    return pv.vertical_rows(data, ["order_id"], max_rows=0, null_text="(null)")
 
 
 @check(
@@ -313,5 +314,5 @@ SELECT record_no, 1 AS column_no, 'amount' AS column_name, CAST(amount AS VARCHA
 UNION ALL SELECT record_no, 2, 'order_id', CAST(order_id AS VARCHAR) FROM r
 UNION ALL SELECT record_no, 3, 'status', status FROM r"""
 )
-def vertical_preview(spark, sf):
-    return vertical_rows(orders(spark, sf).select("amount", "order_id", "status"), ["amount", "order_id"])
+def vertical_rows(spark, sf):
+    return pv.vertical_rows(orders(spark, sf).select("amount", "order_id", "status"), ["amount", "order_id"])

@@ -7,11 +7,12 @@ Prefix arguments are raw string prefixes; directory arguments get a trailing sla
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferryline.functions.text import directory_prefix, human_bytes
 from ferryline.operators.numbering import number_rows
@@ -95,13 +96,39 @@ def child_directories(inventory: DataFrame, directory: str = "") -> DataFrame:
     )
 
 
+def run_states(inventory: DataFrame, directory: str, marker: str = "_DONE") -> DataFrame:
+    """Run directories one level below, and whether each holds its done marker.
+
+    A run without the marker is still being written and must not be loaded.
+    """
+    prefix = directory_prefix(directory)
+    rest = F.substring(F.col("key"), F.lit(len(prefix) + 1), F.length("key"))
+    is_done = F.substring_index(rest, "/", -1) == marker
+    one_deep = F.length(rest) - F.length(F.replace(rest, F.lit("/"), F.lit(""))) == 1
+    return (
+        under(inventory, prefix)
+        .where(rest.contains("/"))
+        .groupBy(F.concat(F.lit(prefix), F.substring_index(rest, "/", 1), F.lit("/")).alias("run"))
+        .agg(
+            F.bool_or(is_done & one_deep).alias("done"),
+            F.count_if(~is_done & ~is_marker(F.col("key"))).alias("objects"),
+            F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"),
+        )
+        .orderBy("run")
+    )
+
+
 def older_than(inventory: DataFrame, seconds: Column | float, as_of: datetime) -> DataFrame:
     """Objects last changed strictly before ``as_of`` minus a duration.
 
     ``as_of`` is UTC and explicit, so a plan gives the same answer when run again.
     """
     age = F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
-    return inventory.where(F.col("last_modified") < F.lit(as_of) - age)
+    utc = as_of.astimezone(timezone.utc) if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
+    moment = F.lit(utc)
+    if isinstance(inventory.schema["last_modified"].dataType, T.TimestampNTZType):
+        moment = F.lit(utc.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return inventory.where(F.col("last_modified") < moment - age)
 
 
 def _guarded_directory(directory: str) -> str:
@@ -117,15 +144,15 @@ def delete_candidates(inventory: DataFrame, directory: str) -> DataFrame:
 
 def delete_preview(candidates: DataFrame, shown: int = PREVIEW_KEYS) -> DataFrame:
     """The first keys to be deleted, each with the number of further ones and the totals."""
-    # One row on each side of the broadcast.
-    everything = candidates.agg(
-        F.count(F.lit(1)).alias("total_objects"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes")
-    )
-    first = candidates.select("key", "size").orderBy("key").limit(shown)
+    objects = candidates.agg(F.count(F.lit(1)).alias("n")).scalar()
+    size = candidates.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).scalar()
     return (
-        first.crossJoin(F.broadcast(everything))
-        .withColumn("more", F.greatest(F.col("total_objects") - shown, F.lit(0)))
+        candidates.select("key", "size")
         .orderBy("key")
+        .limit(shown)
+        .withColumn("total_objects", objects)
+        .withColumn("total_bytes", size)
+        .withColumn("more", F.greatest(F.col("total_objects") - shown, F.lit(0)))
     )
 
 

@@ -17,22 +17,18 @@ DEFAULT_ROWS = 100
 def preview(df: DataFrame, max_rows: int = DEFAULT_ROWS) -> DataFrame:
     """The first rows and whether there are more, without counting the rest.
 
-    One row more than asked is taken; if it comes, ``truncated`` is true. ``0`` means
-    everything: the frame comes back without a limit and stays distributed.
+    One row more than asked is fetched; if it comes, ``truncated`` is true. The fetch
+    starts with one task and adds more only while rows are missing, so a preview of a
+    huge table reads a small part of it. ``0`` means everything: the frame comes back
+    without a limit, is not fetched and stays distributed.
     """
     if max_rows < 0:
         raise ValueError("max_rows is at least 0")
     if max_rows == 0:
         return df.withColumn("truncated", F.lit(False))
-    # The limit leaves max_rows + 1 rows in one task, in the order of the result.
-    taken = df.limit(max_rows + 1).withColumn("__place", F.monotonically_increasing_id())
-    place = Window.orderBy("__place")
-    return (
-        taken.withColumn("__number", F.row_number().over(place))
-        .withColumn("truncated", F.count(F.lit(1)).over(Window.partitionBy()) > max_rows)
-        .where(F.col("__number") <= max_rows)
-        .drop("__place", "__number")
-    )
+    rows = df.take(max_rows + 1)  # bounded by the caller
+    shown = df.sparkSession.createDataFrame(rows[:max_rows], df.schema)
+    return shown.withColumn("truncated", F.lit(len(rows) > max_rows))
 
 
 def preview_cells(df: DataFrame, max_rows: int = DEFAULT_ROWS, null_text: str = "NULL") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,12 @@ GRADE_BAD = "look for another key"
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union in pairs: every union is analysed again, so a long chain would be slow to build."""
+    level = list(frames)
+    while len(level) > 1:
+        paired = [a.unionByName(b) for a, b in zip(level[::2], level[1::2])]
+        level = paired + level[len(paired) * 2 :]
+    return level[0]
 
 
 def _verdict(ndv: Column, nulls: Column, top: Column, segments: int) -> Column:

@@ -99,10 +99,9 @@ def test_preview(spark, rows, most, shown, more):
     assert {r.truncated for r in got} == ({more} if got else set())
 
 
-def test_preview_does_not_count(spark, plan):
-    text = plan(pv.preview(spark.range(10**12), 10))
-    assert "Limit 11" in text
-    assert len(pv.preview(spark.range(10**12), 10).collect()) == 10
+def test_preview_reads_only_a_small_part(spark):
+    # 2000 tasks of 10^9 rows each would never finish.
+    assert len(pv.preview(spark.range(0, 2 * 10**12, 1, 2000), 10).collect()) == 10
 
 
 def test_preview_columns_of_an_empty_result(spark):
