@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from ferryline.checks.registry import ORDERS, check, md5_bucket, orders, table
 from ferryline.functions.segments import segment_of
 from ferryline.operators import preview as pv
+from ferryline.plans import export
 from ferryline.plans.catalog import QUERIES, parse_parameters, run_query
-from ferryline.runtime import scratch_database
+from ferryline.runtime import scratch_database, shared_folder
+from ferryline.sources.feed_format import LOAD_FORMAT
+from ferryline.sources.feed_reader import read_feed
 from ferryline.sources.profiles import scan
 
 DAY = "1998-06-15"
@@ -66,6 +69,15 @@ def named_query(spark, sf):
     return run_query(spark, "order_range", {**given, "orders": _orders_view(spark, sf)})
 
 
+@check(RANGE.format("1995-01-01", "2001-12-31"))
+def export_query(spark, sf):
+    # A named query into a feed, and the feed read back.
+    given = {"from_dt": "1995-01-01", "to_dt": "2001-12-31", "orders": _orders_view(spark, sf)}
+    path = shared_folder(spark, "feed")
+    export.export_query(spark, "order_range", given, path, LOAD_FORMAT, gzip=True)
+    return read_feed(spark, path, run_query(spark, "order_range", given).schema, LOAD_FORMAT)
+
+
 @check(RANGE.format(DAY, DAY))
 def order_summary(spark, sf):
     schema = scratch_database(spark)

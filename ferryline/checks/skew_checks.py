@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ferryline.checks.registry import ORDERS, SEGMENTS, check, md5_bucket, orders, table
 from ferryline.operators import skew
-from ferryline.runtime import shared_folder
+from ferryline.operators.distribution import distributed_tables, write_distributed
+from ferryline.runtime import scratch_database, shared_folder
 
 LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -48,6 +49,17 @@ def key_scan_estimate(spark, sf):
     return skew.key_scan(_lines(spark, sf), SEGMENTS, exact=False).drop("ndv", "top_value_frac")
 
 
+NO_TOP = SCAN.replace(f"WHEN top::DOUBLE / total > 1.0::DOUBLE / {SEGMENTS} THEN '{skew.VERDICT_TOP}'", "")
+
+
+@check(f"SELECT column_name, null_frac, segments, verdict FROM ({NO_TOP})")
+def key_scan_statistics(spark, sf):
+    name = f"{scratch_database(spark)}.lines"
+    _lines(spark, sf).write.saveAsTable(name)
+    skew.analyze(spark, name)
+    return skew.key_scan_statistics(spark, name, SEGMENTS).drop("ndv", "top_value_frac")
+
+
 @check(
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact_ndv, true AS within_5_percent FROM lineitem"
@@ -145,6 +157,21 @@ def table_skew_topk(spark, sf):
     return skew.table_skew([(t, tables[t], [k]) for t, k in SKEW_TABLES], SEGMENTS)
 
 
+@check(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS distribution_key, skew_pct_all AS skew_coeff FROM ({_summary_sql(k, t)})"
+        for t, k in (("orders", "o_custkey"), ("customer", "c_nationkey"))
+    )
+)
+def table_skew_database(spark, sf):
+    # Names and keys come from the catalog; the randomly spread table has no key to judge.
+    database = scratch_database(spark)
+    write_distributed(table(spark, sf, "orders"), f"{database}.orders", 8, ["o_custkey"])
+    write_distributed(table(spark, sf, "customer"), f"{database}.customer", 8, ["c_nationkey"])
+    write_distributed(table(spark, sf, "part"), f"{database}.part", 8)
+    return skew.table_skew(distributed_tables(spark, database), SEGMENTS)
+
+
 @check(f"SELECT 'status=' || status AS folder, count(*) AS rows FROM {ORDERS} GROUP BY status")
 def partition_rows(spark, sf):
     path = shared_folder(spark, "table")

@@ -41,6 +41,24 @@ def _table_details(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["col_name"]: r["data_type"] for r in rows}
 
 
+def distribution_key(spark: SparkSession, table: str) -> list[str]:
+    """Columns a table is hashed by; empty if it is spread at random."""
+    text = _table_details(spark, table).get("Bucket Columns", "[]")
+    return [name.strip("` ") for name in text.strip("[]").split(",") if name.strip()]
+
+
+def distributed_tables(spark: SparkSession, database: str) -> list[tuple[str, DataFrame, list[str]]]:
+    """(name, table, distribution key) of every hashed table of a database, from the catalog."""
+    found = []
+    for entry in spark.catalog.listTables(database):
+        if not entry.isTemporary and entry.tableType != "VIEW":
+            name = f"{database}.{entry.name}"
+            keys = distribution_key(spark, name)
+            if keys:
+                found.append((entry.name, spark.table(name), keys))
+    return sorted(found, key=lambda f: f[0])
+
+
 def largest_key_share(spark: SparkSession, table: str, keys: Sequence[str]) -> float:
     """Share of the most frequent key; reads the key columns only, without a shuffle on a bucketed table."""
     counts = spark.table(table).groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))

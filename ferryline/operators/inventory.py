@@ -269,9 +269,11 @@ def file_head(spark: SparkSession, path: str, lines: int, line_sep: str | None =
 def run_readiness(expected: DataFrame, inventory: DataFrame, denied: DataFrame | None = None) -> DataFrame:
     """State of each expected ``key``: present, missing or forbidden.
 
-    A refused look-up is not an absent object; ``denied`` lists such keys.
+    A refused look-up is not an absent object; ``denied`` lists such keys. Of several
+    versions of a key the latest counts.
     """
-    present = inventory.select("key", "size", "last_modified").dropDuplicates(["key"])
+    latest = F.max(F.struct("last_modified", "size")).getField("size")
+    present = inventory.groupBy("key").agg(latest.alias("size"))
     state = expected.select("key").join(
         present.withColumn("__present", F.lit(True)), "key", "left"
     )

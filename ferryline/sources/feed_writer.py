@@ -86,6 +86,7 @@ def write_feed(
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     mode: str = "errorifexists",
+    keep_names: bool = False,
 ) -> int:
     """Write ``df`` as a feed directory and return the number of records.
 
@@ -97,11 +98,12 @@ def write_feed(
     order. ``partition_by`` writes one directory per value; a value with very many
     rows is split over several files instead of being sent to one task. Such a
     directory tree is made for loads and has no header.
+
+    The header drops a table prefix from the names unless ``keep_names``.
     """
+    names = df.columns if keep_names else result_names(df)
     first_line = (BYTE_ORDER_MARK if fmt.bom else "") + (
-        fmt.header_line([n for n in result_names(df) if n not in partition_by]) + fmt.line_sep
-        if fmt.header
-        else ""
+        fmt.header_line(names) + fmt.line_sep if fmt.header else ""
     )
     if partition_by and first_line:
         raise ValueError("a feed with partition_by is written with header=False and bom=False")

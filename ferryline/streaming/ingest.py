@@ -22,6 +22,7 @@ def ingest_stream(
     *,
     partition_by: Sequence[str] = (),
     max_files_per_batch: int | None = None,
+    on_error: str = "fail",
 ) -> StreamingQuery:
     """Append the new feed files below ``source`` to the parquet folder ``target``.
 
@@ -30,6 +31,10 @@ def ingest_stream(
     hold any tree of run directories. A writer should move a finished run directory
     into place; files whose names start with ``_`` or ``.`` are not read.
 
+    A malformed record stops the run before its batch is committed. With
+    ``on_error="flag"`` it is stored too, marked by ``reject_reason`` and
+    ``reject_line``; readers of good rows ask for ``reject_reason IS NULL``.
+
     Rows are only appended, so there is no state and no watermark.
     """
     if fmt.quote:
@@ -45,7 +50,7 @@ def ingest_stream(
     if fmt.header:
         lines = drop_headers(lines, schema, fmt)
     writer = (
-        parse_lines(lines, schema, fmt)
+        parse_lines(lines, schema, fmt, on_error)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -108,6 +108,8 @@ def test_header_escapes_names_and_drops_prefixes(spark, folder):
     write_feed(df.coalesce(1), folder)
     assert raw(folder) == b"order_id`a\\`b\r\n1`x\r\n"
     assert strip_prefix(df).columns == ["order_id", "a`b"]
+    write_feed(df.coalesce(1), folder + "-kept", keep_names=True)
+    assert raw(folder + "-kept").startswith(b"orders.order_id`a\\`b\r\n")
 
 
 def test_gzip_and_byte_order_mark(spark, folder):
@@ -283,16 +285,26 @@ def test_quoted_feed_flags_bad_records(spark, folder):
 
 
 def test_partitioned_export_splits_a_hot_value(spark, folder):
-    # Nine of ten rows share one value, and still all come back.
-    df = spark.range(20000).select(
+    # Nine of ten rows share one value; it is written by several tasks, and all come back.
+    df = spark.range(200_000, numPartitions=16).select(
         "id", F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.lit("cold")).alias("day")
     )
-    write_feed(df, folder, LOAD_FORMAT, partition_by=["day"])
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100k")
+    try:
+        write_feed(df, folder, LOAD_FORMAT, partition_by=["day"])
+    finally:
+        spark.conf.set(setting, before)
+    assert len(files(folder, "day=hot/part-*")) > 4
     stored = T.StructType.fromDDL("id bigint")
     back = read_feed(spark, folder, stored, LOAD_FORMAT, partition_columns={"day": "string"})
-    assert back.exceptAll(df).isEmpty() and back.count() == 20000
+    assert back.exceptAll(df).isEmpty() and back.count() == 200_000
+
+
+def test_partitioned_export_has_no_header(spark, folder):
     with pytest.raises(ValueError, match="header=False"):
-        write_feed(df, folder + "x", partition_by=["day"])
+        write_feed(spark.range(3).withColumn("day", F.lit("a")), folder, partition_by=["day"])
 
 
 @pytest.mark.parametrize(

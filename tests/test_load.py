@@ -154,6 +154,19 @@ def test_stream_takes_every_record_once(spark, folder):
     assert stored.count() == 1000 and stored.exceptAll(data).isEmpty()
 
 
+def test_stream_with_bad_records(spark, feed_dir):
+    def run(target, checkpoint, on_error):
+        ingest_stream(spark, feed_dir, ORDERS_SCHEMA, target, checkpoint, on_error=on_error).awaitTermination()
+
+    target, checkpoint = shared_folder(spark, "target"), shared_folder(spark, "checkpoint")
+    with pytest.raises(PySparkException):
+        run(target, checkpoint, "fail")
+    run(target, checkpoint, "flag")  # the failed run has taken nothing
+    stored = spark.read.parquet(target)
+    assert sorted(r.order_id for r in stored.where("reject_reason IS NULL").collect()) == [1, 2, 5]
+    assert stored.where("reject_reason IS NOT NULL").count() == 2
+
+
 def bucketed(spark, left, right):
     database = scratch_database(spark)
     distribution.write_distributed(left, f"{database}.l", 8, ["k"])
@@ -198,3 +211,11 @@ def test_redistribute_keeps_the_rows(spark):
     assert spark.table(table).exceptAll(spark.range(1000).toDF("id")).isEmpty()
     details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
     assert details["Num Buckets"] == "8" and "id" in details["Bucket Columns"]
+
+
+def test_distribution_key_from_the_catalog(spark):
+    database = scratch_database(spark)
+    distribution.write_distributed(spark.range(10).withColumn("b", F.lit(1)), f"{database}.two", 4, ["id", "b"])
+    distribution.write_distributed(spark.range(10), f"{database}.none", 4)
+    assert distribution.distribution_key(spark, f"{database}.two") == ["id", "b"]
+    assert [(n, k) for n, _, k in distribution.distributed_tables(spark, database)] == [("two", ["id", "b"])]
