@@ -21,4 +21,6 @@ def segment_of(keys: Sequence[str | Column], segments: int, portable: bool = Tru
     texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
     text = texts[0] if len(texts) == 1 else F.concat_ws("|", *texts)
     number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, F.lit(segments)).cast("int")
+    segment = F.pmod(number, F.lit(segments)).cast("int")
+    # Never NULL; said openly, a join on it needs no extra test that hashes every row again.
+    return F.coalesce(segment, F.lit(0))

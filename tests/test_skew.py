@@ -54,9 +54,14 @@ def test_key_scan_of_an_empty_table(table):
     assert {(r.ndv, r.null_frac, r.top_value_frac) for r in rows} == {(0, 0.0, 0.0)}
 
 
-def test_estimate_is_one_pass_without_value_shuffle(table, plan):
+def test_estimate_shuffles_no_values(table, plan):
     text = plan(skew.key_scan(table, SEGMENTS, exact=False))
-    assert text.count("Range (") == 1 and "hashpartitioning" not in text
+    assert text.count("Range (") == 2 and "hashpartitioning" not in text
+
+
+def test_segment_is_hashed_once(table, plan):
+    rows = skew.segment_rows(table, ["unique_key"], SEGMENTS)
+    assert plan(skew.skew_summary(rows, SEGMENTS)).count("md5") == 1
 
 
 def test_exact_scan_reads_one_column_per_branch(spark, plan):
