@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 
 from ferryline.functions.text import directory_prefix, human_bytes
 from ferryline.operators.numbering import number_rows
+from ferryline.runtime import materialize
 
 # Fixed value: keys per delete request.
 DELETE_BATCH = 1000
+# Fixed value: the folder name of a NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Fixed value: keys shown before a delete.
 PREVIEW_KEYS = 10
 
@@ -320,7 +323,9 @@ def retention_split(partitions: DataFrame, partition_column: str, keep_from: Col
     )
 
 
-def _sql_text(value: str) -> str:
+def _sql_text(value: str | None) -> str:
+    if value is None:
+        return "NULL"
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -332,40 +337,47 @@ def _partition_values(spark: SparkSession, table: str, condition: Column) -> lis
     pieces = F.split("partition", "/")
     for i, name in enumerate(names):
         text = F.url_decode(F.substring_index(F.get(pieces, F.lit(i)), "=", -1))
+        text = F.when(text != NULL_PARTITION, text)
         parts = parts.withColumn(name, text.cast(fields[name])).withColumn(f"__{name}", text)
     chosen = parts.where(condition).select(*[F.col(f"__{n}").alias(n) for n in names])
     return [row.asDict() for row in chosen.collect()]
 
 
-def drop_partitions(spark: SparkSession, table: str, condition: Column) -> int:
-    """Drop the partitions that meet a condition; a catalog operation, no data is read.
-
-    A condition that covers every partition is refused, like an empty prefix.
-    """
-    chosen = _partition_values(spark, table, condition)
-    every = spark.sql(f"SHOW PARTITIONS {table}").count()
-    if chosen and len(chosen) == every:
-        raise ValueError("the condition covers the whole table; nothing was dropped")
+def _drop(spark: SparkSession, table: str, partitions: list[dict[str, str]]) -> None:
     specs = [
         "PARTITION ("
         + ", ".join(f"`{name}` = {_sql_text(value)}" for name, value in part.items())
         + ")"
-        for part in chosen
+        for part in partitions
     ]
     # One statement for many partitions keeps the catalog calls few.
     for start in range(0, len(specs), DELETE_BATCH):
         spark.sql(
             f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs[start : start + DELETE_BATCH])
         )
+
+
+def drop_partitions(spark: SparkSession, table: str, condition: Column) -> int:
+    """Drop the partitions that meet a condition; a catalog operation, no data is read.
+
+    A condition that covers every partition is refused, like an empty prefix.
+    """
+    chosen = _partition_values(spark, table, condition)
+    every = spark.sql(f"SHOW PARTITIONS {table}").count()
+    if chosen and len(chosen) == every:
+        raise ValueError("the condition covers the whole table; nothing was dropped")
+    _drop(spark, table, chosen)
     return len(chosen)
 
 
 def archive_partitions(spark: SparkSession, table: str, archive: str, condition: Column) -> DataFrame:
-    """Copy partitions to an archive folder, check the counts, then drop them.
+    """Copy partitions to an archive folder, check the counts, then drop exactly those.
 
-    Returns the archived rows per partition. On a difference the source stays.
+    The folder may already hold other partitions. Returns the archived rows per
+    partition. On a difference the source stays as it is.
     """
     names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    partitions = _partition_values(spark, table, condition)
     chosen = spark.table(table).where(condition)
     chosen.hint("rebalance", *names).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
@@ -375,19 +387,18 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, condition:
     def counts(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*names).agg(F.count(F.lit(1)).alias(name))
 
+    source, target = counts(chosen, "source_rows").alias("a"), counts(copied, "archived_rows").alias("b")
     same = reduce(
-        lambda a, b: a & b, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
+        lambda x, y: x & y, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
     )
-    differing = (
-        counts(chosen, "source_rows")
-        .alias("a")
-        .join(counts(copied, "archive_rows").alias("b"), same, "full")
-        .where(~F.col("source_rows").eqNullSafe(F.col("archive_rows")))
+    # One row per partition, written down because the source is about to go.
+    moved = materialize(
+        source.join(target, same, "left").select("a.*", "archived_rows"), "archived-partitions"
     )
-    if not differing.isEmpty():
+    if not moved.where(~F.col("source_rows").eqNullSafe(F.col("archived_rows"))).isEmpty():
         raise RuntimeError("the archive differs from the source; nothing was removed")
-    drop_partitions(spark, table, condition)
-    return counts(copied, "archived_rows")
+    _drop(spark, table, partitions)
+    return moved.drop("source_rows")
 
 
 def empty_inventory(spark: SparkSession, keys: Sequence[str] = ()) -> DataFrame:
