@@ -155,11 +155,12 @@ def load(
     counted = Observation()
     staged_path = shared_folder(spark, "staged-load")
     staged_frame = feed.withColumn("__rejected", F.col(REJECT_REASON).isNotNull())
-    staged_frame.observe(
-        counted,
-        F.count_if(~F.col("__rejected")).alias("good"),
-        F.count_if("__rejected").alias("bad"),
-    ).write.partitionBy("__rejected").parquet(staged_path)
+    watched = staged_frame.observe(
+        counted, F.count_if(~F.col("__rejected")).alias("good"), F.count_if("__rejected").alias("bad")
+    )
+    # Two open files per task, one for each folder, save a sort of all rows.
+    with _session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        watched.write.partitionBy("__rejected").parquet(staged_path)
     good, bad = counted.get.get("good", 0), counted.get.get("bad", 0)
     staged = spark.read.schema(staged_frame.schema).parquet(staged_path)
     errors = staged.where("__rejected").select(REJECT_REASON, REJECT_LINE)
