@@ -162,7 +162,7 @@ def delete_preview(candidates: DataFrame, shown: int = PREVIEW_KEYS) -> DataFram
 def delete_batches(candidates: DataFrame, batch: int = DELETE_BATCH) -> DataFrame:
     """Assign each key to a delete request of at most ``batch`` keys, in key order."""
     numbered = number_rows(candidates, ["key"])
-    return numbered.withColumn("batch", F.floor(F.col("position") / batch)).drop("position")
+    return numbered.withColumn("batch", F.expr(f"position div {int(batch)}")).drop("position")
 
 
 def delete_outcome(requested: DataFrame, errors: DataFrame) -> DataFrame:
