@@ -137,7 +137,7 @@ class TrigramSpace:
         return found, owner[1:-1][middle], codes, row
 
 
-def prototypes(docs: DataFrame, text: str, label: str, per_label: int = 10_000) -> dict[str, np.ndarray]:
+def prototypes(docs: DataFrame, text: str, label: str, per_label: int = 4_000) -> dict[str, np.ndarray]:
     """Language prototypes of labelled texts, as unit vectors.
 
     About ``per_label`` texts of each label are used, chosen by a hash of the text (all, if

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, language_id, token_count
-from ferryline.llm.registry import query, read
+from ferryline.llm import bpe_table, contamination, language_id, substring_dedup, token_count
+from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 
 
 def tokenizer_file() -> str:
@@ -39,3 +39,60 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents").withColumn("held_out", language_id.held_out())
     languages = language_id.prototypes(docs.where("NOT held_out"), "text", "lang")
     return language_id.identify(docs, "text", languages, ["doc_id", "held_out"])
+
+
+@query(
+    r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(13, len(w)) AS l FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(w[i : i + l - 1], ' ') AS k
+       FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS i FROM bl)),
+dw AS (SELECT doc_id, l, i, array_to_string(w[i : i + l - 1], ' ') AS k
+       FROM (SELECT d.*, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw))),
+m AS (SELECT doc_id, i, dw.l, item_id FROM dw JOIN bw USING (l, k)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM m)) GROUP BY 1),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM m GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+)
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination.contaminated_words(
+        read(spark, sf, "documents"), "text", ["doc_id"], read(spark, sf, "benchmark"), "item_id", "text"
+    )
+    return found.select("doc_id", "n_words", *contamination_figures())
+
+
+def contamination_figures() -> list:
+    """The columns that judge a document, from ``n_words``, ``hits`` and ``items``."""
+    hit = F.expr("aggregate(sequence(0, size(hits) div 2 - 1, 1), 0L, (s, i) -> s + hits[2 * i + 1] - hits[2 * i])")
+    n_hit = F.when(F.size("hits") > 0, hit).otherwise(F.lit(0).cast("long"))
+    return [
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+    ]
+
+
+@query(
+    r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d)),
+f AS (SELECT k, min(doc_id) AS first FROM k GROUP BY 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM k JOIN f USING (k) WHERE first < doc_id),
+r AS (SELECT doc_id, list(p) AS p FROM g GROUP BY 1),
+x AS (SELECT doc_id, len(w) AS n, coalesce(len(p), 0) AS gone,
+             CASE WHEN p IS NULL THEN array_to_string(w, ' ')
+                  ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(p, i)), ' ') END AS kept
+      FROM d LEFT JOIN r USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_words, gone::BIGINT AS n_removed, sha256(kept) AS kept_sha256 FROM x
+"""
+)
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(read(spark, sf, "documents"), "doc_id", "text", ["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 SLICE_BYTES = 1 << 20
 
@@ -148,3 +148,41 @@ def per_text(docs: DataFrame, text: str, keep: list[str], added: list[StructFiel
 
     types = [to_arrow_type(f.dataType) for f in added]
     return frame.mapInArrow(run, StructType([*frame.schema.fields[:-1], *added]))
+
+
+def pack(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``packed``, the compressed text, so that a shuffle of texts stays small. NULL stays NULL."""
+    import zstandard
+
+    frame = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for part, _, _ in slices(batch, "_text"):
+                texts = part.column(len(part.schema) - 1).cast(pa.binary()).to_pylist()
+                packed = [None if t is None else work.compress(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names=[*part.schema.names[:-1], "packed"])
+
+    return frame.mapInArrow(run, StructType([*frame.schema.fields[:-1], StructField("packed", BinaryType())]))
+
+
+def unpack(packed: list[bytes | None]) -> list[bytes]:
+    """Texts in UTF-8; NULL is empty."""
+    import zstandard
+
+    work = zstandard.ZstdDecompressor()
+    return [b"" if p is None else work.decompress(p) for p in packed]
+
+
+def joined(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of a list of texts: first and last index, their bytes and offsets."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= SLICE_BYTES):
+            size += len(texts[to])
+            to += 1
+        data = np.frombuffer(b"".join(texts[at:to]), np.uint8)
+        yield at, to, data, np.concatenate([[0], np.cumsum([len(t) for t in texts[at:to]])]).astype(np.int64)
+        at = to
