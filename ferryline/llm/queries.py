@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, language_id, substring_dedup, token_count
+from ferryline.llm import bpe_table, contamination, language_id, metric_search, sharding, substring_dedup, token_count, warc_store
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
+from ferryline.runtime import shared_folder
 
 
 def tokenizer_file() -> str:
@@ -96,3 +97,57 @@ SELECT doc_id, n::BIGINT AS n_words, gone::BIGINT AS n_removed, sha256(kept) AS
 def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(read(spark, sf, "documents"), "doc_id", "text", ["doc_id"])
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS n, sha256(h) AS s FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first FROM q)
+SELECT page_id, n AS payload_bytes, s AS payload_digest,
+       CASE WHEN n < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < 100 OR page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+)
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc_store.write_archive(read(spark, sf, "pages"), folder)
+    records = warc_store.read_archive(spark, folder)
+    return records.select("page_id", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+)
+def op8_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    found = metric_search.top_products(read(spark, sf, "embeddings"), "vec_id", "embedding", "id % 100 = 0")
+    return found.withColumnRenamed("id", "vec_id")
+
+
+#: Bytes of text in a shard.
+SHARD_BYTES = 2 << 20
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes,
+                  lpad(bin(CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT)), 32, '0') AS b FROM documents),
+e AS (SELECT doc_id, n_bytes, g AS depth, substr(b, 1, g) AS shard FROM d, range(0, 33) t(g)),
+s AS (SELECT depth, shard, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS n FROM e GROUP BY ALL),
+r AS (SELECT e.doc_id, e.n_bytes, e.shard, e.depth, s.shard_bytes,
+             row_number() OVER (PARTITION BY e.doc_id ORDER BY e.depth) AS k
+      FROM e JOIN s USING (depth, shard) WHERE s.shard_bytes <= {SHARD_BYTES} OR s.n = 1)
+SELECT doc_id, n_bytes, shard, depth::INTEGER AS depth, shard_bytes FROM r WHERE k = 1
+"""
+)
+def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    return sharding.assign_shards(docs, "doc_id", "n_bytes", SHARD_BYTES, ["doc_id", "n_bytes"])
