@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, language_id, metric_search, sharding, substring_dedup, token_count, warc_store
+from ferryline.llm import bpe_table, contamination, language_id, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 from ferryline.runtime import shared_folder
 
@@ -151,3 +151,8 @@ SELECT doc_id, n_bytes, shard, depth::INTEGER AS depth, shard_bytes FROM r WHERE
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     return sharding.assign_shards(docs, "doc_id", "n_bytes", SHARD_BYTES, ["doc_id", "n_bytes"])
+
+
+@query()
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_copies(read(spark, sf, "documents"), "doc_id", "text")
