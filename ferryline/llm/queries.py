@@ -65,19 +65,7 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = contamination.contaminated_words(
         read(spark, sf, "documents"), "text", ["doc_id"], read(spark, sf, "benchmark"), "item_id", "text"
     )
-    return found.select("doc_id", "n_words", *contamination_figures())
-
-
-def contamination_figures() -> list:
-    """The columns that judge a document, from ``n_words``, ``hits`` and ``items``."""
-    hit = F.expr("aggregate(sequence(0, size(hits) div 2 - 1, 1), 0L, (s, i) -> s + hits[2 * i + 1] - hits[2 * i])")
-    n_hit = F.when(F.size("hits") > 0, hit).otherwise(F.lit(0).cast("long"))
-    return [
-        n_hit.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
-    ]
+    return found.select("doc_id", "n_words", *contamination.figures())
 
 
 @query(

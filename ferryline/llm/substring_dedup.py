@@ -157,9 +157,10 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 50) -> Da
     return whole.unionByName(part.select("d", "v", "pos", "n", F.col("source.d").alias("src_d"), F.col("source.pos").alias("src_pos")))
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, keep: list[str], length: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str, text: str, keep: list[str], length: int = 50, spacing: bool = False) -> DataFrame:
     """The columns ``keep`` with ``n_words``, ``n_removed``, ``kept`` (left words, one blank between) and ``spans``.
 
+    With ``spacing`` the left parts keep their own white space, and an uncut text stays as it is.
     ``spans`` lists removed words as from, to, from, to, ... in order. One row for each input row.
     NULL has no words. A NULL key is neither source nor cut. Rows that repeat a key are one document
     if their texts are equal and never each other's source otherwise.
@@ -186,7 +187,13 @@ def remove_repeats(docs: DataFrame, key: str, text: str, keep: list[str], length
                     gone = np.cumsum(change) > 0
                     edges = np.flatnonzero(np.diff(np.concatenate([[False], gone[:-1], [False]]).astype(np.int8)))
                     stay = np.concatenate([[0], edges, [high - low]]).reshape(-1, 2)
-                    pieces = [normal.data[normal.starts[low + a] : normal.ends[low + b - 1]] for a, b in stay.tolist() if b > a]
+                    stay = [(low + a, low + b) for a, b in stay.tolist() if b > a]
+                    if spacing and not len(edges):
+                        pieces = [data[bounds[t] : bounds[t + 1]].tobytes()]
+                    elif spacing:
+                        pieces = [data[words.starts[a] : words.ends[b - 1]].tobytes() for a, b in stay]
+                    else:
+                        pieces = [normal.data[normal.starts[a] : normal.ends[b - 1]] for a, b in stay]
                     totals.append(high - low)
                     removed.append(int(gone.sum()))
                     kept.append(b" ".join(pieces).decode())
