@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, language_id, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store
+from ferryline.llm import bpe_table, contamination, language_id, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 from ferryline.runtime import shared_folder
 
@@ -144,3 +144,9 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_copies(read(spark, sf, "documents"), "doc_id", "text")
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    texts = wrapper.extract(read(spark, sf, "pages"), "url", "html", ["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
