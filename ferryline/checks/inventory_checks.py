@@ -11,7 +11,7 @@ from ferryline.operators import inventory as inv
 from ferryline.operators.load import load
 from ferryline.functions.text import duration_seconds
 from ferryline.plans.catalog import ORDERS_SCHEMA
-from ferryline.runtime import scratch_database, shared_folder
+from ferryline.runtime import materialize, scratch_database, shared_folder
 from ferryline.sources.feed_format import LOAD_FORMAT
 from ferryline.sources.feed_writer import write_feed
 
@@ -252,3 +252,14 @@ def archive_partition(spark, sf):
     left = spark.table(name).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
     archived = moved.select(F.lit("archive").alias("place"), "y", F.col("archived_rows").alias("n"))
     return archived.unionByName(left.withColumn("place", F.lit("table")))
+
+
+@check(f"SELECT y, (2 * n)::BIGINT AS n FROM ({YEARLY}) WHERE y < 1997")
+def archive_twice(spark, sf):
+    # Late rows of an archived partition join the earlier ones in the archive.
+    name, archive = _yearly_table(spark, sf), shared_folder(spark, "archive")
+    late = materialize(spark.table(name), "late")
+    inv.archive_partitions(spark, name, archive, F.col("y") < 1997)
+    late.where("y < 1997").write.insertInto(name)
+    inv.archive_partitions(spark, name, archive, F.col("y") < 1997)
+    return spark.read.parquet(archive).groupBy("y").agg(F.count(F.lit(1)).alias("n"))

@@ -49,7 +49,7 @@ def key_scan_estimate(spark, sf):
     return skew.key_scan(_lines(spark, sf), SEGMENTS, exact=False).drop("ndv", "top_value_frac")
 
 
-NO_TOP = SCAN.replace(f"WHEN top::DOUBLE / total > 1.0::DOUBLE / {SEGMENTS} THEN '{skew.VERDICT_TOP}'", "")
+NO_TOP = SCAN.replace(f"WHEN top::DOUBLE / total > 1.0::DOUBLE / {SEGMENTS} THEN '{skew.VERDICT_TOP}'", "").replace(skew.VERDICT_GOOD, skew.VERDICT_TOP_UNKNOWN)
 
 
 @check(f"SELECT column_name, null_frac, segments, verdict FROM ({NO_TOP})")

@@ -26,14 +26,19 @@ SYNTAX_WORDS = ("syntax", "parseexception", "analysisexception")
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def _stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def _number(text: Column) -> Column:
-    text = F.trim(text)
+    text = _stripped(text)
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
 def duration_seconds(text: Column) -> Column:
     """``90m``, ``24h``, ``7d``, ``2w``, ``12`` (hours) as seconds; NULL if malformed."""
-    value = F.lower(F.trim(text))
+    value = F.lower(_stripped(text))
     unit = F.right(value, F.lit(1))
     factor = F.create_map(*[F.lit(x) for pair in DURATION_UNITS.items() for x in pair])[unit]
     number = F.when(factor.isNull(), value).otherwise(
@@ -44,7 +49,7 @@ def duration_seconds(text: Column) -> Column:
 
 def size_bytes(text: Column) -> Column:
     """``512``, ``8KB``, ``8MiB``, ``1.5GB`` as whole bytes; NULL if malformed."""
-    value = F.replace(F.upper(F.trim(text)), F.lit("IB"), F.lit("B"))
+    value = F.replace(F.upper(_stripped(text)), F.lit("IB"), F.lit("B"))
     unit = F.right(value, F.lit(2))
     factor = F.create_map(*[F.lit(x) for pair in SIZE_UNITS.items() for x in pair])[unit]
     number = (

@@ -10,13 +10,14 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.text import directory_prefix, human_bytes
 from ferryline.operators.numbering import number_rows
-from ferryline.runtime import materialize
+from ferryline.runtime import data_files, materialize, remove
 
 # Fixed value: keys per delete request.
 DELETE_BATCH = 1000
@@ -317,9 +318,9 @@ def parallelism(inventory: DataFrame, segments: int, prefix: str = "") -> DataFr
 
 
 def retention_split(partitions: DataFrame, partition_column: str, keep_from: Column) -> DataFrame:
-    """Mark each partition (one row per value) as kept or expired."""
+    """Mark each partition (one row per value) as kept or expired. A NULL partition has no age and is kept."""
     return partitions.withColumn(
-        "expired", F.col(partition_column) < keep_from
+        "expired", F.coalesce(F.col(partition_column) < keep_from, F.lit(False))
     )
 
 
@@ -371,36 +372,65 @@ def drop_partitions(spark: SparkSession, table: str, condition: Column) -> int:
 
 
 def archive_partitions(spark: SparkSession, table: str, archive: str, condition: Column) -> DataFrame:
-    """Copy partitions to an archive folder, check the counts, then drop exactly those.
+    """Move partitions to an archive folder: copy their files' rows, check the counts, remove those files.
 
-    The folder may already hold other partitions. Returns the archived rows per
-    partition. On a difference the source stays as it is.
+    The folder may already hold rows of the same partitions; new rows are added to them. Only files
+    that were listed before the copy are copied, counted and removed, and a partition is dropped
+    only if nothing else is left in it. So rows that arrive meanwhile stay in the table. Returns the rows
+    archived by this call, for each partition. On a difference the source stays as it is.
     """
     names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     partitions = _partition_values(spark, table, condition)
-    chosen = spark.table(table).where(condition)
-    chosen.hint("rebalance", *names).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*names).parquet(archive)
-    copied = spark.read.schema(chosen.schema).parquet(archive).where(condition)
-
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*names).agg(F.count(F.lit(1)).alias(name))
-
-    source, target = counts(chosen, "source_rows").alias("a"), counts(copied, "archived_rows").alias("b")
+    schema = spark.table(table).schema
+    chosen = spark.table(table).where(condition).withColumn("__file", F.col("_metadata.file_path"))
+    # One row per file, written down because the source is about to go.
+    listed = materialize(chosen.groupBy(*names, "__file").agg(F.count(F.lit(1)).alias("source_rows")), "archive-source")
+    earlier = None
+    if not listed.isEmpty():
+        try:
+            earlier = materialize(
+                spark.read.schema(schema).parquet(archive).select(F.col("_metadata.file_path").alias("__file")).distinct(), "archive-files"
+            )
+        except AnalysisException:
+            pass  # no archive yet
+        moving = chosen.join(listed.select("__file"), "__file", "left_semi").select(*schema.names)
+        moving.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(archive)
+        copied = spark.read.schema(schema).parquet(archive).where(condition).withColumn("__file", F.col("_metadata.file_path"))
+        if earlier is not None:
+            copied = copied.join(earlier, "__file", "left_anti")
+    else:
+        copied = chosen.limit(0)
+    source = listed.groupBy(*names).agg(F.sum("source_rows").alias("source_rows")).alias("a")
+    target = copied.groupBy(*names).agg(F.count(F.lit(1)).alias("archived_rows")).alias("b")
     same = reduce(
         lambda x, y: x & y, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
     )
-    # One row per partition, written down because the source is about to go.
-    moved = materialize(
-        source.join(target, same, "left").select("a.*", "archived_rows"), "archived-partitions"
-    )
+    moved = materialize(source.join(target, same, "left").select("a.*", "archived_rows"), "archived-partitions")
     if not moved.where(~F.col("source_rows").eqNullSafe(F.col("archived_rows"))).isEmpty():
         raise RuntimeError("the archive differs from the source; nothing was removed")
-    _drop(spark, table, partitions)
+    folders = set()
+    for row in listed.select(F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B"))).alias("f")).toLocalIterator():
+        remove(spark, row["f"])
+        folders.add(row["f"].rpartition("/")[0])
+    if not any(data_files(spark, f) for f in folders):
+        _drop(spark, table, partitions)
+    else:
+        left = _partition_folders(spark, table, partitions)
+        _drop(spark, table, [p for p, folder in left if not data_files(spark, folder)])
+    spark.catalog.refreshTable(table)
     return moved.drop("source_rows")
 
 
+def _partition_folders(spark: SparkSession, table: str, partitions: list[dict[str, str]]) -> list[tuple[dict[str, str], str]]:
+    """Partitions with their folders, from the catalog."""
+    found = []
+    for part in partitions:
+        spec = ", ".join(f"`{name}` = {_sql_text(value)}" for name, value in part.items())
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+        found.append((part, next(r["data_type"] for r in rows if r["col_name"] == "Location")))
+    return found
+
+
 def empty_inventory(spark: SparkSession, keys: Sequence[str] = ()) -> DataFrame:
     """A small inventory for lists given by hand, such as denied keys."""
     return spark.createDataFrame(

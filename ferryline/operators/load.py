@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
-from ferryline.runtime import shared_folder
+from ferryline.runtime import remove, shared_folder
 from ferryline.sources.feed_reader import REJECT_LINE, REJECT_REASON
 
 MODES = ("append", "replace_partition")
 
+# Some writes take a setting from the session only, which all threads share.
+_SETTING = threading.Lock()
+
 
 class RejectLimitExceeded(Exception):
     """More malformed records than allowed; nothing was published."""
@@ -49,7 +54,7 @@ def _aligned(df: DataFrame, target: str, columns: Sequence[str] | None) -> DataF
     """
     df = df.select(*[quoted(c) for c in columns or [c for c in df.columns if c not in (REJECT_REASON, REJECT_LINE)]])
     if _is_path(target):
-        return df
+        return _same_types(df, target)
     given = {f.name: f.dataType for f in df.schema}
     wanted = df.sparkSession.table(target).schema
     unknown = set(given) - set(wanted.names)
@@ -69,14 +74,34 @@ def _aligned(df: DataFrame, target: str, columns: Sequence[str] | None) -> DataF
     )
 
 
+def _same_types(df: DataFrame, folder: str) -> DataFrame:
+    """The rows, if their types are those of the folder's files; a new folder takes any."""
+    try:
+        wanted = {f.name: f.dataType for f in df.sparkSession.read.parquet(folder).schema}
+    except AnalysisException:
+        return df
+    for f in df.schema:
+        if f.name in wanted and wanted[f.name] != f.dataType and not _partition_text(folder, f.name, df):
+            raise TypeError(f"{f.name} is {f.dataType.simpleString()} in the feed, {wanted[f.name].simpleString()} in {folder}")
+    return df
+
+
+def _partition_text(folder: str, name: str, df: DataFrame) -> bool:
+    """Whether a column is in the folder names, whose types are guessed from their texts."""
+    names = df.sparkSession.read.parquet(folder).inputFiles()[:1]
+    return any(f"/{name}=" in n for n in names)
+
+
 @contextmanager
 def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    """A setting for one write. Writes that need one take turns, so none sees another's setting."""
+    with _SETTING:
+        before = spark.conf.get(name)
+        spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def write_counted(
@@ -103,7 +128,8 @@ def write_counted(
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
     elif not replace:
-        writer.insertInto(target)
+        with _SETTING:  # or a replacement's setting would be in force
+            writer.insertInto(target)
     elif not spread_by:
         raise ValueError(f"replace_partition needs a partitioned table, {target} is not")
     else:
@@ -164,11 +190,15 @@ def load(
     good, bad = counted.get.get("good", 0), counted.get.get("bad", 0)
     staged = spark.read.schema(staged_frame.schema).parquet(staged_path)
     errors = staged.where("__rejected").select(REJECT_REASON, REJECT_LINE)
-    if bad > reject_limit:
-        raise RejectLimitExceeded(f"{bad} malformed records, {reject_limit} allowed; see {staged_path}")
-    rows = _aligned(staged.where("NOT __rejected").select(*[quoted(c) for c in good_columns]), target, columns)
-    if not dry_run:
-        write_counted(rows, target, mode, partition_by)
+    # The malformed records stay, as the result shows them; the good ones go when they are published.
+    try:
+        if bad > reject_limit:
+            raise RejectLimitExceeded(f"{bad} malformed records, {reject_limit} allowed; see {staged_path}")
+        rows = _aligned(staged.where("NOT __rejected").select(*[quoted(c) for c in good_columns]), target, columns)
+        if not dry_run:
+            write_counted(rows, target, mode, partition_by)
+    finally:
+        remove(spark, f"{staged_path}/__rejected=false")
     return LoadResult(target, mode, good, bad, not dry_run, errors)
 
 

@@ -25,6 +25,8 @@ VERDICT_FEW = "unfit: too few distinct values for the segments"
 VERDICT_NULL = "caution: NULLs gather on one segment"
 VERDICT_TOP = "caution: the top value exceeds a fair share"
 VERDICT_GOOD = "good"
+VERDICT_TOP_UNKNOWN = "top value unknown"
+VERDICT_NOT_ANALYZED = "not analysed"
 
 GRADE_GOOD = "very good"
 GRADE_FAIR = "acceptable"
@@ -44,6 +46,8 @@ def _verdict(ndv: Column, nulls: Column, top: Column, segments: int) -> Column:
     return (
         F.when(ndv < NDV_PER_SEGMENT * segments, F.lit(VERDICT_FEW))
         .when(nulls > MAX_NULL_FRACTION, F.lit(VERDICT_NULL))
+        .when(ndv.isNull(), F.lit(VERDICT_NOT_ANALYZED))
+        .when(top.isNull(), F.lit(VERDICT_TOP_UNKNOWN))
         .when(top > 1.0 / segments, F.lit(VERDICT_TOP))
         .otherwise(F.lit(VERDICT_GOOD))
     )
@@ -87,7 +91,8 @@ def _estimate_group(df: DataFrame, names: Sequence[str]) -> DataFrame:
     profiles = []
     for name in names:
         column = quoted(name)
-        top = F.get(F.call_function("approx_top_k", column, F.lit(1)), F.lit(0))
+        spelled = "`" + name.replace("`", "``") + "`"
+        top = F.get(F.expr(f"approx_top_k({spelled}, 1) FILTER (WHERE {spelled} IS NOT NULL)"), F.lit(0))
         profiles.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -129,29 +134,36 @@ def key_scan_statistics(spark: SparkSession, table: str, segments: int) -> DataF
     """The same verdict from catalog statistics; no row of the table is read.
 
     The statistics hold estimated distinct values and NULL counts. They name no most
-    frequent value, whose share then counts as 0. Columns never analysed are missing.
+    frequent value, so its share is NULL and no column is called good. A column that was
+    never analysed has NULL figures and says so.
     """
     rows = []
     details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     total = re.search(r"(\d+) rows", details.get("Statistics", ""))
-    for name in spark.table(table).columns if total else []:
+    for name in spark.table(table).columns:
         escaped = name.replace("`", "``")
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} `{escaped}`").collect()
         info = {r["info_name"]: r["info_value"] for r in described}
-        if info.get("distinct_count", "NULL") != "NULL":
-            rows.append((name, int(info["distinct_count"]), int(info["num_nulls"]), 0, int(total[1])))
+        known = total and info.get("distinct_count", "NULL") != "NULL"
+        figures = (int(info["distinct_count"]), int(info["num_nulls"]), None, int(total[1])) if known else (None, None, None, None)
+        rows.append((name, *figures))
     profile = spark.createDataFrame(rows, "column_name string, ndv bigint, nulls bigint, top bigint, rows bigint")
     return _judged(profile, segments)
 
 
+def _share(fraction: Column, known: Column) -> Column:
+    """A rounded share: 0 for an empty table, NULL if it is not known."""
+    return F.round(F.when(known.isNotNull(), F.coalesce(fraction, F.lit(0.0))), 4)
+
+
 def _judged(profile: DataFrame, segments: int) -> DataFrame:
     rows = F.nullif(F.col("rows"), F.lit(0)).cast("double")
     null_fraction, top_fraction = F.col("nulls") / rows, F.col("top") / rows
     return profile.select(
         "column_name",
         "ndv",
-        F.round(F.coalesce(null_fraction, F.lit(0.0)), 4).alias("null_frac"),
-        F.round(F.coalesce(top_fraction, F.lit(0.0)), 4).alias("top_value_frac"),
+        _share(null_fraction, F.col("nulls")).alias("null_frac"),
+        _share(top_fraction, F.col("top")).alias("top_value_frac"),
         F.lit(segments).alias("segments"),
         _verdict(F.col("ndv"), null_fraction, top_fraction, segments).alias("verdict"),
     ).orderBy(F.desc("ndv"), "column_name")

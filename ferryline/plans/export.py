@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,41 +18,23 @@ from ferryline.sources.feed_writer import write_feed
 EXPORT_PHASES = ("plan", "run and write", "list files")
 
 
-@dataclass
-class RunTimer:
-    """Seconds per phase of one run. A phase may be entered several times."""
-
-    seconds: dict[str, float] = field(default_factory=dict)
-    started: float = field(default_factory=time.monotonic)
-
-    @contextmanager
-    def measure(self, phase: str) -> Iterator[None]:
-        begin = time.monotonic()
-        try:
-            yield
-        finally:
-            self.seconds[phase] = self.seconds.get(phase, 0.0) + time.monotonic() - begin
+@dataclass(frozen=True)
+class ExportResult:
+    path: str
+    rows: int
+    files: int
+    bytes: int
+    seconds: tuple[float, ...]
 
     def phase_log(self, spark: SparkSession, run_id: str) -> DataFrame:
         """Rows for the phase report: ``run_id, phase, seconds``."""
-        rows = [(run_id, phase, f"{seconds:.6f}") for phase, seconds in self.seconds.items()]
+        rows = [(run_id, phase, f"{s:.6f}") for phase, s in zip(EXPORT_PHASES, self.seconds)]
         log = spark.createDataFrame(rows, "run_id string, phase string, s string")
         return log.select("run_id", "phase", F.col("s").cast("decimal(18,6)").alias("seconds"))
 
     def run_log(self, spark: SparkSession, run_id: str) -> DataFrame:
         """One row for the phase report: ``run_id, total_seconds``."""
-        total = f"{time.monotonic() - self.started:.6f}"
-        log = spark.createDataFrame([(run_id, total)], "run_id string, s string")
-        return log.select("run_id", F.col("s").cast("decimal(18,6)").alias("total_seconds"))
-
-
-@dataclass(frozen=True)
-class ExportResult:
-    path: str
-    rows: int
-    files: int
-    bytes: int
-    timer: RunTimer
+        return self.phase_log(spark, run_id).groupBy("run_id").agg(F.sum("seconds").cast("decimal(18,6)").alias("total_seconds"))
 
 
 def export_query(
@@ -69,12 +50,12 @@ def export_query(
 
     ``options`` are those of ``write_feed``.
     """
-    timer = RunTimer()
-    with timer.measure("plan"):
-        result = run_query(spark, name, parameters, queries)
-    with timer.measure("run and write"):
-        rows = write_feed(result, path, fmt, **options)
-    with timer.measure("list files"):
-        data = list_files(spark, path).where(~F.substring_index("key", "/", -1).startswith("_"))
-        size = data.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
-    return ExportResult(path, rows, size["files"], size["bytes"], timer)
+    marks = [time.time()]
+    result = run_query(spark, name, parameters, queries)
+    marks.append(time.time())
+    rows = write_feed(result, path, fmt, **options)
+    marks.append(time.time())
+    data = list_files(spark, path).where(~F.substring_index("key", "/", -1).startswith("_"))
+    size = data.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    marks.append(time.time())
+    return ExportResult(path, rows, size["files"], size["bytes"], tuple(b - a for a, b in zip(marks, marks[1:])))

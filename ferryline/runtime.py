@@ -68,3 +68,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of staged data, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def data_files(spark: SparkSession, folder: str) -> int:
+    """Files directly in a folder, without hidden ones and markers; 0 if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return 0
+    return sum(1 for f in system.listStatus(target) if not f.getPath().getName().startswith(("_", ".")))

@@ -79,7 +79,7 @@ def _typed(
         _LINE,
         broken.alias("__broken"),
         *keep,
-        *[(_field(i) if is_text[i] else _field(i).try_cast(f.dataType)).alias(f"__{i}") for i, f in enumerate(schema)],
+        *[(_field(i) if is_text[i] else _shaped(_field(i), f.dataType).try_cast(f.dataType)).alias(f"__{i}") for i, f in enumerate(schema)],
     )
     reasons = [F.when(F.col("__broken"), F.lit(f"not {width} fields"))]
     for i, f in enumerate(schema):
@@ -99,6 +99,25 @@ def _typed(
     )
 
 
+# How dates, times and floating-point numbers are written; Spark's casts take more.
+_DATE = r"\d{4}-\d{2}-\d{2}"
+_TIME = _DATE + r"([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?"
+_FLOAT = r"[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))"
+_SHAPES = {
+    T.DateType: _DATE,
+    T.TimestampType: _TIME,
+    T.TimestampNTZType: _TIME,
+    T.FloatType: _FLOAT,
+    T.DoubleType: _FLOAT,
+}
+
+
+def _shaped(text: Column, dtype: T.DataType) -> Column:
+    """The text, or NULL if it is not written like a value of the type."""
+    shape = _SHAPES.get(type(dtype))
+    return F.when(text.rlike(rf"^\s*({shape})\s*$"), text) if shape else text
+
+
 def _field(index: int) -> Column:
     return F.get(F.col(_FIELDS), F.lit(index))
 
@@ -107,11 +126,11 @@ def _strict_cast(text: Column, field: T.StructField, spark: SparkSession) -> Col
     """A cast that stops on a bad value, also where the session's casts give NULL."""
     if isinstance(field.dataType, T.StringType):
         return text
-    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+    if type(field.dataType) not in _SHAPES and spark.conf.get("spark.sql.ansi.enabled") == "true":
         return text.cast(field.dataType)
     reason = F.concat(F.lit(f"bad feed record, {field.name} is not a {field.dataType.simpleString()}: "), text)
     wrong = F.when(text.isNotNull(), F.raise_error(reason).cast(field.dataType))
-    return F.coalesce(text.try_cast(field.dataType), wrong)
+    return F.coalesce(_shaped(text, field.dataType).try_cast(field.dataType), wrong)
 
 
 def parse_lines(

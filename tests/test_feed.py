@@ -20,9 +20,9 @@ from ferryline.sources.feed_writer import strip_prefix, write_feed
 
 SCHEMA = "order_id bigint, name string, amount string, order_dt date"
 ROWS = [
-    (1, "김철수", "10.50", date(2026, 8, 1)),
-    (2, "쉼표, 포함", None, date(2026, 8, 2)),
-    (3, '따옴표" 포함', "0", date(2026, 8, 3)),
+    (1, "Åse Lund", "7.25", date(2026, 8, 1)),
+    (2, "comma, inside", None, date(2026, 8, 2)),
+    (3, 'quote" inside', "0", date(2026, 8, 3)),
 ]
 HEADER = "order_id`name`amount`order_dt"
 
@@ -45,26 +45,26 @@ def export(spark, folder, rows=ROWS, fmt=FeedFormat(), schema=SCHEMA, **options)
 def test_defaults(spark, folder):
     assert export(spark, folder) == [
         HEADER,
-        "1`김철수`10.50`2026-08-01",
-        "2`쉼표, 포함``2026-08-02",
-        '3`따옴표" 포함`0`2026-08-03',
+        "1`Åse Lund`7.25`2026-08-01",
+        "2`comma, inside``2026-08-02",
+        '3`quote" inside`0`2026-08-03',
     ]
 
 
 def test_quoting_only_where_needed(spark, folder):
     lines = export(spark, folder, fmt=FeedFormat(quote=True))
-    assert lines[2:] == ["2`쉼표, 포함``2026-08-02", '3`"따옴표"" 포함"`0`2026-08-03']
+    assert lines[2:] == ["2`comma, inside``2026-08-02", '3`"quote"" inside"`0`2026-08-03']
 
 
 @pytest.mark.parametrize(
     "fmt, expected",
     [
-        (FeedFormat(header=False), r"1`백틱\`포함`1`2026-08-01"),
-        (FeedFormat(header=False, quote=True), '1`"백틱`포함"`1`2026-08-01'),
+        (FeedFormat(header=False), r"1`tick\`inside`1`2026-08-01"),
+        (FeedFormat(header=False, quote=True), '1`"tick`inside"`1`2026-08-01'),
     ],
 )
 def test_delimiter_in_value(spark, folder, fmt, expected):
-    rows = [(1, "백틱`포함", "1", date(2026, 8, 1))]
+    rows = [(1, "tick`inside", "1", date(2026, 8, 1))]
     assert export(spark, folder, rows, fmt) == [expected]
 
 
@@ -84,7 +84,7 @@ def test_delimiter_in_value_without_escape_stops_and_publishes_nothing(spark, fo
     ],
 )
 def test_null_marker(spark, folder, fmt, shown):
-    assert export(spark, folder, fmt=fmt)[2] == f"2`쉼표, 포함`{shown}`2026-08-02"
+    assert export(spark, folder, fmt=fmt)[2] == f"2`comma, inside`{shown}`2026-08-02"
     schema = T.StructType.fromDDL(SCHEMA)
     back = read_feed(spark, folder, schema, fmt)
     assert sorted(map(tuple, back.collect())) == sorted(ROWS)
@@ -92,7 +92,7 @@ def test_null_marker(spark, folder, fmt, shown):
 
 def test_tab_and_no_header(spark, folder):
     lines = export(spark, folder, fmt=FeedFormat(delimiter="\t", header=False))
-    assert len(lines) == 3 and lines[1] == "2\t쉼표, 포함\t\t2026-08-02"
+    assert len(lines) == 3 and lines[1] == "2\tcomma, inside\t\t2026-08-02"
 
 
 @pytest.mark.parametrize("header", [True, False])
@@ -221,7 +221,7 @@ def test_double_spelling(spark, value):
 
 
 def test_other_spellings(spark):
-    row = (True, Decimal("10.50"), datetime(2026, 8, 1, 1, 2, 3, 50), datetime(2026, 8, 1, 1, 2, 3))
+    row = (True, Decimal("7.25"), datetime(2026, 8, 1, 1, 2, 3, 50), datetime(2026, 8, 1, 1, 2, 3))
     df = spark.createDataFrame([row], "b boolean, d decimal(18,2), t timestamp_ntz, s timestamp_ntz")
     shown = df.select(*[feed_text(F.col(f.name), f.dataType) for f in df.schema]).first()
     assert list(shown) == [str(v) for v in row]

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ferryline.operators import distribution
 from ferryline.operators.load import RejectLimitExceeded, load, truncate, write_counted
@@ -219,3 +220,56 @@ def test_distribution_key_from_the_catalog(spark):
     distribution.write_distributed(spark.range(10), f"{database}.none", 4)
     assert distribution.distribution_key(spark, f"{database}.two") == ["id", "b"]
     assert [(n, k) for n, _, k in distribution.distributed_tables(spark, database)] == [("two", ["id", "b"])]
+
+
+@pytest.mark.parametrize(
+    "kind, bad, good",
+    [
+        ("date", ["2026", "2026-8", "2026-08-01 garbage", "2026-08-01Txyz"], ["2026-08-01"]),
+        ("double", ["3d", "4f", "0x1p3"], ["3", "-4.5e3", ".5", "NaN"]),
+        ("timestamp", ["2026", "12:30:00"], ["2026-08-01", "2026-08-01 12:30:00", "2026-08-01T12:30:00.25Z"]),
+    ],
+)
+def test_values_that_only_look_like_the_type_are_rejected(spark, kind, bad, good):
+    path = shared_folder(spark, "shapes")
+    spark.createDataFrame([(v,) for v in bad + good], "value string").write.option("lineSep", "\r\n").text(path)
+    feed = read_feed(spark, path, StructType.fromDDL("v " + kind), LOAD_FORMAT, on_error="flag")
+    rows = feed.select(F.col("reject_line"), F.col("v").isNull().alias("none")).collect()
+    assert sorted(r.reject_line for r in rows if r.reject_line) == sorted(bad)
+    assert [r.none for r in rows if not r.reject_line] == [False] * len(good)
+    with pytest.raises(PySparkException):
+        read_feed(spark, path, StructType.fromDDL("v " + kind), LOAD_FORMAT).collect()
+
+
+def test_replacements_in_threads_keep_partitions_and_the_setting(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    database, before = scratch_database(spark), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    names = [f"{database}.t{n}" for n in range(4)]
+    for name in names:
+        spark.sql(f"CREATE TABLE {name} (v bigint, p int) USING parquet PARTITIONED BY (p)")
+        load(spark.range(4).select(F.col("id").alias("v"), F.col("id").cast("int").alias("p")), name)
+    new = spark.range(1).select(F.lit(9).cast("bigint").alias("v"), F.lit(0).alias("p"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda name: load(new, name, mode="replace_partition"), names))
+    for name in names:
+        assert sorted(r.v for r in spark.table(name).collect()) == [1, 2, 3, 9]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_a_folder_keeps_its_types(spark):
+    path = shared_folder(spark, "typed")
+    load(spark.range(3), path)
+    with pytest.raises(TypeError, match="id is string"):
+        load(spark.range(3).select(F.col("id").cast("string")), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_staged_good_records_are_removed(spark, feed_dir, table):
+    from pathlib import Path
+
+    base = Path(shared_folder(spark, "x").removeprefix("file:")).parent
+    before = set(base.glob("staged-load-*"))
+    load(flagged(spark, feed_dir), table, reject_limit=2)
+    (new,) = set(base.glob("staged-load-*")) - before
+    assert not (new / "__rejected=false").exists()
