@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.llm.token_count import encode_pieces, load_tokenizer, parts, pre_tokens
-from ferryline.llm.words import slices
+from ferryline.llm.words import returning, slices, text_batches
 from ferryline.runtime import materialize
 
 #: Bytes of text in a block, as far as whole texts allow.
@@ -92,7 +92,7 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"word": batch["word"], "ids": encode_pieces(tokenizer, batch["word"].tolist())})
 
-    return words.mapInPandas(encode, "word string, ids array<int>")
+    return words.mapInPandas(returning(encode), "word string, ids array<int>")
 
 
 def decode_ids(rows: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -113,9 +113,10 @@ def encode_and_decode(docs: DataFrame, key: str, text: str, tokenizer_path: str)
     may be NULL or repeated. The tokenizer must drop white space, never join characters across it,
     and have no decoder of its own, as its library then joins pieces by blanks.
     """
+    text_batches(docs)
     spark = docs.sparkSession
     frame = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    blocks = materialize(frame.mapInArrow(_blocks, _BLOCK), "bpe-blocks")
+    blocks = materialize(frame.mapInArrow(returning(_blocks), _BLOCK), "bpe-blocks")
     words = blocks.select("block", F.posexplode("words").alias("n", "word"))
     table = decode_ids(encode_words(words.select("word").distinct(), tokenizer_path), vocabulary(spark, tokenizer_path))
     table = materialize(table, "bpe-words")

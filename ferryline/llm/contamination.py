@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ferryline.llm.words import ALNUM, LOWER, Words, complete, hash_words, slices, windows
+from ferryline.llm.words import ALNUM, LOWER, Words, complete, hash_words, returning, slices, text_batches, windows
 
 SHINGLE = 3
 BLOCK_WINDOWS = 50_000
@@ -115,7 +115,7 @@ def rarity(docs: DataFrame, text: str, block: Block) -> dict[int, int]:
             seen = totals[s] > 0
             yield pa.RecordBatch.from_arrays([pa.array(look.values[seen].view(np.int64)), pa.array(totals[s][seen])], names=["s", "n"])
 
-    counted = docs.select(F.col(text).alias("t")).mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    counted = docs.select(F.col(text).alias("t")).mapInArrow(returning(count), "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     return {row["s"] & (2**64 - 1): row["n"] for row in counted.toLocalIterator()}
 
 
@@ -195,7 +195,7 @@ def _search(frame: DataFrame, block: Block, counts: dict[int, int]) -> DataFrame
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays, part.column(4)], names=names)
 
     names = frame.schema.names
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(returning(run), frame.schema)
 
 
 def contaminated_words(docs: DataFrame, text: str, keep: list[str], items: DataFrame, item_key: str, item_text: str, length: int = 13) -> DataFrame:
@@ -205,15 +205,18 @@ def contaminated_words(docs: DataFrame, text: str, keep: list[str], items: DataF
     ``items`` has the ids, as sorted strings, of items with an occurring window. Words are runs of
     letters, digits and characters beyond ASCII, with A to Z lower-cased. NULL has no words.
     """
+    text_batches(docs)
     none = F.array().cast(ArrayType(IntegerType())), F.array().cast(ArrayType(StringType()))
-    kept = F.struct(*keep).alias("kept_columns")
+    others = [c for c in keep if c != text]
+    kept = F.struct(*others, F.lit(0).alias("_")).alias("kept_columns")
     frame = docs.select(kept, F.lit(0).cast("long").alias("n_words"), none[0].alias("hits"), none[1].alias("items"), F.col(text).cast("string").alias("t"))
     found = False
     for block in blocks(items, item_key, item_text, length):
         frame, found = _search(frame, block, rarity(docs, text, block)), True
     if not found:
         frame = _search(frame, Block(), {})
-    return frame.select("kept_columns.*", "n_words", "hits", "items")
+    back = [F.col("t").alias(c) if c == text else F.col("kept_columns").getField(c).alias(c) for c in keep]
+    return frame.select(*back, "n_words", "hits", "items")
 
 
 def figures() -> list[Column]:

@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from ferryline.llm.words import per_text
+from ferryline.llm.words import per_text, returning, text_batches
 
 DIMENSIONS = 512
 #: Texts are cut into pieces of so many characters, so that a long text needs little memory.
-PIECE = 1 << 19
+PIECE = 1 << 18
 _CODE = np.uint64(21)
 _BLANK = np.uint64(0x20)
 
@@ -46,11 +46,12 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
 class TrigramSpace:
     """Vectors of letters and of the trigrams met so far, for one task."""
 
-    def __init__(self, dimensions: int = DIMENSIONS, keep: int = 30_000):
+    def __init__(self, dimensions: int = DIMENSIONS, keep: int = 20_000):
         self.dimensions, self.keep = dimensions, keep
         self.letters: dict[int, np.ndarray] = {}
         self.codes = np.zeros(0, np.uint64)
-        self.vectors = np.zeros((0, dimensions), np.float32)
+        self.places = np.zeros(0, np.int64)
+        self.vectors = np.zeros((keep, dimensions), np.float32)
 
     def letter(self, code: int) -> np.ndarray:
         vector = self.letters.get(code)
@@ -70,23 +71,21 @@ class TrigramSpace:
         return out
 
     def rows(self, codes: np.ndarray) -> np.ndarray:
-        """Vectors of sorted distinct trigrams; known ones come from the table."""
+        """Vectors of sorted distinct trigrams, no more than the table holds; known ones come from it."""
         at = np.searchsorted(self.codes, codes)
         known = at < len(self.codes)
         known[known] = self.codes[at[known]] == codes[known]
         if not known.all():
             fresh = codes[~known]
             if len(self.codes) + len(fresh) > self.keep:
-                self.codes, self.vectors = np.zeros(0, np.uint64), self.vectors[:0]
-                if len(codes) > self.keep:
-                    return self.bind(codes)
-                fresh = codes
+                self.codes, self.places, fresh = np.zeros(0, np.uint64), np.zeros(0, np.int64), codes
+            places = np.arange(len(self.codes), len(self.codes) + len(fresh))
+            self.vectors[places] = self.bind(fresh)
             merged = np.concatenate([self.codes, fresh])
             order = np.argsort(merged)
-            self.vectors = np.concatenate([self.vectors, self.bind(fresh)])[order]
-            self.codes = merged[order]
+            self.codes, self.places = merged[order], np.concatenate([self.places, places])[order]
             at = np.searchsorted(self.codes, codes)
-        return self.vectors[at]
+        return self.vectors[self.places[at]]
 
     def bundles(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The vectors of whole texts, and which of them have letters."""
@@ -102,8 +101,8 @@ class TrigramSpace:
             of = np.array([n for n, _ in pieces[at:to]])
             found, owner, codes, counts = self._trigrams([t for _, t in pieces[at:to]])
             lettered[of] |= found
-            for low in range(0, len(codes), 8192):
-                vectors = self.rows(codes[low : low + 8192])
+            for low in range(0, len(codes), 4096):
+                vectors = self.rows(codes[low : low + 4096])
                 np.add.at(out, of, self._counts(owner, counts, low, len(vectors), to - at) @ vectors)
             at = to
         return out, lettered
@@ -144,6 +143,7 @@ def prototypes(docs: DataFrame, text: str, label: str, per_label: int = 4_000) -
     fewer); that bounds the fitting, and a larger sample does not move the sums' direction.
     The driver receives one vector for each label.
     """
+    text_batches(docs)
     labelled = docs.select(F.col(text).alias("t"), F.col(label).alias("l")).where("t IS NOT NULL AND l IS NOT NULL")
     counts = {row["l"]: row["count"] for row in labelled.groupBy("l").count().toLocalIterator()}
     if not counts:
@@ -165,7 +165,7 @@ def prototypes(docs: DataFrame, text: str, label: str, per_label: int = 4_000) -
         for name, vector in total.items():
             yield pd.DataFrame({"l": name, "i": np.arange(len(vector)), "v": vector})
 
-    parts = sample.mapInPandas(sums, "l string, i int, v double").groupBy("l", "i").agg(F.sum("v").alias("v"))
+    parts = sample.mapInPandas(returning(sums), "l string, i int, v double").groupBy("l", "i").agg(F.sum("v").alias("v"))
     rows = parts.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("v")).collect()
     out = {row["l"]: np.array([x["v"] for x in row["v"]]) for row in rows}
     return {name: out[name] / max(np.linalg.norm(out[name]), 1e-9) for name in sorted(out)}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.components import connected_components
 from ferryline.llm.contamination import words_of
-from ferryline.llm.words import Words, complete, joined, mix, pack, slices, unpack, windows
+from ferryline.llm.words import Words, complete, joined, mix, pack, returning, slices, text_batches, unpack, windows
 from ferryline.runtime import materialize
 
 NGRAM = 5
@@ -93,7 +93,7 @@ def _signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 arrays = [part.column(0), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["d", "digest", "bands"])
 
-    return docs.mapInArrow(run, "d long, digest binary, bands array<long>")
+    return docs.mapInArrow(returning(run), "d long, digest binary, bands array<long>")
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
@@ -224,6 +224,7 @@ def near_copies(docs: DataFrame, key: str, text: str, threshold: float = 0.8, re
     ``threshold``. Texts without words, NULL ones too, are alone. A NULL key gives NULL classes and no
     links. Rows that repeat a key are one document with the sets of each of its texts.
     """
+    text_batches(docs)
     bands, rows = choose_bands(threshold, recall)
     frame = docs.select(F.col(key).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
     signed = materialize(_signatures(frame, bands, rows), "signatures")
@@ -238,11 +239,11 @@ def near_copies(docs: DataFrame, key: str, text: str, threshold: float = 0.8, re
     placed = placed.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "block", "rep", "bands")
     cell = ["key", "ci", "cj"]
     schema = placed.schema
-    paired = materialize(placed.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_members, schema), "cells")
+    paired = materialize(placed.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_members), schema), "cells")
     needed = paired.select("rep").distinct()
     texts = pack(frame.where("d IS NOT NULL"), "t", ["d"]).withColumnRenamed("d", "rep")
     with_text = paired.join(texts.join(materialize(needed, "needed"), "rep", "left_semi"), "rep").select(*cell, "block", "rep", "bands", "packed")
-    links = with_text.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(_links(threshold), "rep long, n long, root long")
+    links = with_text.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_links(threshold)), "rep long, n long, root long")
     links = materialize(links, "links")
     classes = connected_components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rep").agg(F.sum("n").alias("n_links"))

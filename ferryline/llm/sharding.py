@@ -72,7 +72,7 @@ def directory(shards: DataFrame) -> DataFrame:
             F.when(
                 F.col("full") > F.col("depth"),
                 F.transform(
-                    F.sequence(F.lit(0).cast("long"), F.shiftleft(F.lit(1).cast("long"), F.col("full") - F.col("depth")) - 1),
+                    F.expr("sequence(0L, shiftleft(1L, full - depth) - 1)"),
                     lambda i: F.concat("shard", F.lpad(F.conv(i.cast("string"), 10, 2), F.col("full") - F.col("depth"), F.lit("0"))),
                 ),
             ).otherwise(F.array("shard"))

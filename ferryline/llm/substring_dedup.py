@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ferryline.llm.words import SPACED, Words, complete, hash_words, joined, pack, slices, unpack, windows
+from ferryline.llm.words import SPACED, Words, complete, hash_words, joined, pack, returning, slices, text_batches, unpack, windows
 from ferryline.runtime import materialize
 
 NODE_WORDS = 8
@@ -100,7 +100,7 @@ def _paths(frame: DataFrame, length: int) -> DataFrame:
                     names=["node", "digest", "d", "v", "pos", "n"],
                 )
 
-    return frame.mapInArrow(run, "node long, digest binary, d long, v int, pos int, n int")
+    return frame.mapInArrow(returning(run), "node long, digest binary, d long, v int, pos int, n int")
 
 
 def _windows(texts: DataFrame, length: int) -> DataFrame:
@@ -127,7 +127,7 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
                 types = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["digest", "d", "v", "pos", "n"])
 
-    return texts.mapInArrow(run, "digest binary, d long, v int, pos int, n int")
+    return texts.mapInArrow(returning(run), "digest binary, d long, v int, pos int, n int")
 
 
 def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 50) -> DataFrame:
@@ -136,6 +136,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 50) -> Da
     Windows ``pos`` to ``pos + n - 1`` of document ``d`` are also in the smaller document ``src_d``,
     those of whole paths from window ``src_pos`` on. Rows with a NULL key take no part.
     """
+    text_batches(docs)
     frame = docs.select(F.col(key).cast("long").alias("d"), F.col(text).cast("string").alias("t")).where("d IS NOT NULL AND t IS NOT NULL")
     occurrences = materialize(_paths(frame, length), "paths")
     source = F.min(F.struct("d", "pos")).alias("source")
@@ -202,4 +203,4 @@ def remove_repeats(docs: DataFrame, key: str, text: str, keep: list[str], length
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), *arrays], names=["kept_columns", "n_words", "n_removed", "kept", "spans"])
 
     added = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType()), StructField("spans", ArrayType(IntegerType()))]
-    return frame.mapInArrow(run, StructType([frame.schema[0], *added])).select("kept_columns.*", "n_words", "n_removed", "kept", "spans")
+    return frame.mapInArrow(returning(run), StructType([frame.schema[0], *added])).select("kept_columns.*", "n_words", "n_removed", "kept", "spans")

@@ -10,6 +10,7 @@ them.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from ferryline.llm.words import per_text
+from ferryline.llm.words import per_text, returning, text_batches
 from ferryline.runtime import materialize
 
 #: A pre-token with this share of all words is frequent, so there are at most 20,000 of them.
@@ -28,6 +29,7 @@ _MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 #: Entries of a worker's cache of other pre-tokens; it is emptied when full.
 CACHE = 600_000
 _CACHES: dict[str, dict[str, int]] = {}
+_TOKENIZERS: dict = {}
 
 
 def pre_tokens(text: str | None) -> list[str]:
@@ -50,12 +52,16 @@ def parts(piece: str) -> tuple[str, ...]:
 
 
 def load_tokenizer(path: str):
-    from tokenizers import Tokenizer
+    """The tokenizer of a file, loaded once in a worker. It runs in one thread, as Spark fills the cores."""
+    if path not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        _TOKENIZERS[path] = tokenizer
+    return _TOKENIZERS[path]
 
 
 def encode_pieces(tokenizer, pieces: list[str]) -> list[list[int]]:
@@ -84,6 +90,7 @@ def frequent(docs: DataFrame, text: str, share: float = SHARE) -> dict[str, int]
     one and zeros are dropped; so their memory is bounded, and counts are low by a sixteenth of
     the share at most.
     """
+    text_batches(docs)
     window = int(16 / share)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,7 +106,7 @@ def frequent(docs: DataFrame, text: str, share: float = SHARE) -> dict[str, int]
         kept = {w: n for w, n in counts.items() if n >= seen * share}
         yield pd.DataFrame({"w": ["", *kept], "n": [seen, *kept.values()]})
 
-    parts = docs.select(F.col(text).alias("t")).mapInPandas(count, "w string, n long")
+    parts = docs.select(F.col(text).alias("t")).mapInPandas(returning(count), "w string, n long")
     total = materialize(parts.groupBy("w").agg(F.sum("n").alias("n")), "frequent")
     words = total.where("w = ''").agg(F.sum("n")).first()[0] or 0
     found = total.where((F.col("w") != "") & (F.col("n") >= max(1.0, share * words)))

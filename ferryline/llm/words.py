@@ -7,6 +7,8 @@ about ``SLICE_BYTES`` of text; only a single longer text makes a larger slice.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _RANDOM = np.random.Generator(np.random.Philox(20240607))
 _BYTE_VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,7 +46,7 @@ def powers(base: int, count: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for ``i`` below ``count``."""
     known = _POWERS.get(base)
     if known is None or len(known) < count:
-        size = max(1 << 21, count)
+        size = max(1 << 20, count)
         known = np.full(size, base, np.uint64)
         known[0] = 1
         known = np.multiply.accumulate(known)
@@ -93,9 +95,9 @@ def hash_words(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> Words:
     return Words(data, starts, ends, text, first, mix(value + (ends - starts).astype(np.uint64)))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, column: str | int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of a batch with the UTF-8 bytes of ``column`` and the offsets of its texts. NULL is empty."""
-    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
+    texts = batch.column(column).cast(pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
     if not len(texts):
@@ -128,6 +130,33 @@ def complete(words: Words, size: int) -> np.ndarray:
     return words.text[size - 1 :] == words.text[: len(words.text) - size + 1]
 
 
+def text_batches(docs: DataFrame, rows: int = 1000) -> None:
+    """Make the session's Arrow batches small enough for whole texts, unless a batch size was chosen for it.
+
+    The default of 10,000 rows would put tens of megabytes of text into every batch, several times
+    over in each Python worker and its executor.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def returning(run):
+    """The same map function; at the end of a task it gives freed memory back.
+
+    Python workers serve one stage after another, and what one stage has freed would stay with the
+    worker while the next stage fills other memory.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def per_text(docs: DataFrame, text: str, keep: list[str], added: list[StructField], make) -> DataFrame:
     """The columns ``keep`` of ``docs`` and ``added`` ones computed from the column ``text``.
 
@@ -135,25 +164,29 @@ def per_text(docs: DataFrame, text: str, keep: list[str], added: list[StructFiel
     to one list for each added column. The batches pass through in Arrow form, so the kept columns
     stay as they are.
     """
-    frame = docs.select(*keep, F.col(text).cast("string").alias("_text"))
-    names = [f.name for f in added]
+    text_batches(docs)
+    own = [F.col(c) for c in keep]
+    frame = docs.select(*own, *([] if text in keep else [F.col(text).cast("string").alias("_text")]))
+    names, place = [f.name for f in added], keep.index(text) if text in keep else len(keep)
+    kept = frame.schema.fields[: len(keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part, _, _ in slices(batch, "_text"):
-                columns = work(part.column(len(part.schema) - 1).to_pylist())
+            for part, _, _ in slices(batch, place):
+                columns = work(part.column(place).to_pylist())
                 arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], names=[*part.schema.names[:-1], *names])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *arrays], names=[*part.schema.names[: len(kept)], *names])
 
     types = [to_arrow_type(f.dataType) for f in added]
-    return frame.mapInArrow(run, StructType([*frame.schema.fields[:-1], *added]))
+    return frame.mapInArrow(returning(run), StructType([*kept, *added]))
 
 
 def pack(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``packed``, the compressed text, so that a shuffle of texts stays small. NULL stays NULL."""
     import zstandard
 
+    text_batches(docs)
     frame = docs.select(*keep, F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +197,7 @@ def pack(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                 packed = [None if t is None else work.compress(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names=[*part.schema.names[:-1], "packed"])
 
-    return frame.mapInArrow(run, StructType([*frame.schema.fields[:-1], StructField("packed", BinaryType())]))
+    return frame.mapInArrow(returning(run), StructType([*frame.schema.fields[:-1], StructField("packed", BinaryType())]))
 
 
 def unpack(packed: list[bytes | None]) -> list[bytes]:
