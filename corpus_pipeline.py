@@ -17,15 +17,20 @@ from ferryline.llm.registry import read
 from ferryline.runtime import materialize
 
 
-def _as_one_column(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text")
+def _other_columns(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as one, so that their names clash with none."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
+
+
+def _as_before(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[F.col(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts without letters, empty and NULL ones go."""
     languages = language_id.prototypes(docs, "text", "lang")
-    found = language_id.identify(_as_one_column(docs), "text", languages, ["doc"])
-    return found.where("lang_pred != 'und'").select("doc.*")
+    found = language_id.identify(_other_columns(docs), "text", languages, ["doc", "text"])
+    return _as_before(found.where("lang_pred != 'und'"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +53,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in benchmark passages."""
     items = read(spark, sf_dir, "benchmark")
-    found = contamination.contaminated_words(_as_one_column(docs), "text", ["doc"], items, "item_id", "text")
-    return found.select("doc", "n_words", *contamination.figures()).where("NOT contaminated").select("doc.*")
+    found = contamination.contaminated_words(_other_columns(docs), "text", ["doc", "text"], items, "item_id", "text")
+    judged = found.select("doc", "text", "n_words", *contamination.figures())
+    return _as_before(judged.where("NOT contaminated"), docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
