@@ -28,7 +28,7 @@ from ferryline.llm.words import returning, slices, text_batches
 from ferryline.runtime import materialize
 
 #: Bytes of text in a block, as far as whole texts allow.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 
 
 class Ragged:
@@ -45,7 +45,7 @@ class Ragged:
         return self.flat[np.arange(int(n.sum())) + np.repeat(self.starts[places] - before, n)], n
 
 
-_BLOCK = "block string, words array<string>, rows array<long>, codes array<binary>"
+_BLOCK = "block long, words array<string>, rows array<long>, codes array<binary>"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,8 +61,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = [[words.setdefault(w, len(words)) for w in parts(chunk)] for chunk in chunks]
         numbers = Ragged(np.array([len(c) for c in cut], np.int64), np.array([n for c in cut for n in c], np.uint32))
         codes = [zlib.compress(numbers.take(p)[0].tobytes(), 1) for p in places]
-        columns = [[uuid.uuid4().hex], [list(words)], [rows], [codes]]
-        types = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+        columns = [[uuid.uuid4().int >> 65], [list(words)], [rows], [codes]]
+        types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.binary())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "words", "rows", "codes"])
 
     for batch in batches:
