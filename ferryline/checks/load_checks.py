@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ferryline.checks.registry import ORDERS, check, orders, table
 from ferryline.operators import distribution
-from ferryline.operators.load import load, truncate, write_counted
+from ferryline.operators.load import RejectLimitExceeded, load, truncate, write_counted
 from ferryline.plans.catalog import ORDERS_SCHEMA, load_orders
 from ferryline.runtime import scratch_database, shared_folder
 from ferryline.sources.feed_format import LOAD_FORMAT
@@ -123,6 +123,22 @@ def load_good(spark, sf):
     return spark.table(target)
 
 
+@check(
+    f"""SELECT count(*) FILTER (WHERE order_id % 50 = 0 OR order_id % 75 = 0) > 10 AS stopped,
+       CAST(1 AS BIGINT) AS rows_in_target FROM {ORDERS}"""
+)
+def load_limit_exceeded(spark, sf):
+    # The target keeps the one row it had.
+    target = _orders_table(spark)
+    load(orders(spark, sf).orderBy("order_id").limit(1), target)
+    try:
+        load(_spoiled_feed(spark, sf), target, reject_limit=10)
+        stopped = False
+    except RejectLimitExceeded:
+        stopped = True
+    return spark.table(target).agg(F.lit(stopped).alias("stopped"), F.count(F.lit(1)).alias("rows_in_target"))
+
+
 @check(f"SELECT CAST(count(*) AS BIGINT) AS affected_rows FROM {ORDERS}")
 def affected_rows(spark, sf):
     rows = write_counted(orders(spark, sf), shared_folder(spark, "target"))
@@ -164,6 +180,30 @@ def bucketed_join(spark, sf):
     )
 
 
+def _hot(key):
+    """Two orders in five get one key, one in twenty-five another one."""
+    return f"CASE WHEN {key} % 5 < 2 THEN 1 WHEN {key} % 25 = 4 THEN 2 ELSE {key} END"
+
+
+@check(
+    f"""WITH l AS (SELECT {_hot("l_orderkey")} AS k, l_quantity FROM lineitem),
+r AS (SELECT {_hot("order_id")} AS k, status FROM {ORDERS} WHERE order_id % 5 >= 2 OR order_id < 100)
+SELECT status, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS quantity
+FROM l LEFT JOIN r USING (k) GROUP BY status"""
+)
+def bucketed_join_hot(spark, sf):
+    database = scratch_database(spark)
+    lines = table(spark, sf, "lineitem").select(F.expr(_hot("l_orderkey")).alias("k"), "l_quantity")
+    some = orders(spark, sf).where("order_id % 5 >= 2 OR order_id < 100").select(F.expr(_hot("order_id")).alias("k"), "status")
+    distribution.write_distributed(lines, f"{database}.lines", 16, ["k"])
+    distribution.write_distributed(some, f"{database}.some", 16, ["k"])
+    joined = distribution.distributed_join(spark, f"{database}.lines", f"{database}.some", ["k"], "left", heavy_rows=100)
+    return joined.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("quantity"),
+    )
+
+
 @check(PER_STATUS)
 def redistribute(spark, sf):
     database = scratch_database(spark)

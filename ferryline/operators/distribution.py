@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,20 @@ from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
 
+#: A key with more rows than this on one side is joined in cells; one task handles so many rows easily.
+HEAVY_ROWS = 1_000_000
+#: Pieces into which each side of a heavy key is cut.
+PIECES = 16
+
 
 def write_distributed(
-    df: DataFrame, table: str, buckets: int, keys: Sequence[str] | None = None
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    keys: Sequence[str] | None = None,
+    *,
+    provider: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Save a table hashed into ``buckets`` by ``keys``, or evenly at random without keys.
 
@@ -19,21 +31,51 @@ def write_distributed(
     all of them. The rebalance splits a key range that grew too large over several
     tasks; a bucket then simply has more than one file.
     """
-    if not keys:
-        df.repartition(buckets).write.saveAsTable(table)
-        return
-    df.hint("rebalance", buckets, *keys).write.bucketBy(buckets, *keys).saveAsTable(table)
+    spread = df.hint("rebalance", buckets, *partition_by, *keys) if keys else df.repartition(buckets)
+    writer = spread.write
+    if provider:
+        writer = writer.format(provider)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if keys:
+        writer = writer.bucketBy(buckets, *keys)
+    writer.saveAsTable(table)
 
 
 def redistribute(
     spark: SparkSession, table: str, buckets: int, keys: Sequence[str] | None = None
 ) -> None:
-    """Change the distribution of an existing table; its rows stay the same."""
+    """Change the distribution of an existing table; its rows, format and properties stay.
+
+    The new table is complete before the old one steps aside, and the old one is dropped
+    last. If the new name cannot be taken, the old table gets its name back. Refused are
+    external tables, whose files are not the catalog's, and partitioned ones, as not every
+    catalog moves partitions along with a name: write those to a new name with ``partition_by``.
+    """
+    details = _table_details(spark, table)
+    if details.get("Type") == "EXTERNAL":
+        raise ValueError(f"{table} is an external table; write its rows to a new one")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; write its rows to a new table with partition_by")
     database, _, name = table.rpartition(".")
-    new = f"{database}.{name}__new" if database else f"{name}__new"
-    write_distributed(spark.table(table), new, buckets, keys)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    run = uuid.uuid4().hex[:8]
+    new, old = (f"{database}.{n}" if database else n for n in (f"{name}__new_{run}", f"{name}__old_{run}"))
+    write_distributed(spark.table(table), new, buckets, keys, provider=details.get("Provider"))
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if properties:
+        pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({pairs})")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _table_details(spark: SparkSession, table: str) -> dict[str, str]:
@@ -59,17 +101,15 @@ def distributed_tables(spark: SparkSession, database: str) -> list[tuple[str, Da
     return sorted(found, key=lambda f: f[0])
 
 
-def largest_key_share(spark: SparkSession, table: str, keys: Sequence[str]) -> float:
-    """Share of the most frequent key; reads the key columns only, without a shuffle on a bucketed table."""
-    counts = spark.table(table).groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg((F.max("n") / F.sum("n")).alias("share")).first()
-    return row["share"] or 0.0
+def heavy_keys(spark: SparkSession, table: str, keys: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows, NULLs apart; reads the key columns only.
 
-
-def _unbucketed(spark: SparkSession, table: str) -> DataFrame:
-    """The same files read as a plain folder, so that a join shuffles them."""
-    details = _table_details(spark, table)
-    return spark.read.schema(spark.table(table).schema).format(details["Provider"]).load(details["Location"])
+    On a table bucketed by the keys each task counts its own buckets and nothing is shuffled.
+    There are at most (rows of the table / ``rows``) such keys.
+    """
+    columns = [quoted(k) for k in keys]
+    counts = spark.table(table).dropna(subset=list(keys)).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > rows).select(*columns)
 
 
 def distributed_join(
@@ -78,15 +118,35 @@ def distributed_join(
     right: str,
     on: Sequence[str],
     how: str = "inner",
-    hot_share: float = 0.05,
+    heavy_rows: int = HEAVY_ROWS,
+    pieces: int = PIECES,
 ) -> DataFrame:
-    """Join two tables bucketed by ``on``.
+    """Inner or left join of two tables bucketed by ``on``.
 
-    Normally each task joins one bucket of both sides and nothing is shuffled. One
-    key with a large share would make one such task carry it alone. Then the join
-    is left to a shuffle, whose oversized partitions Spark splits at run time.
+    Each task joins one bucket of both sides and nothing of them is shuffled, but for keys with
+    more than ``heavy_rows`` rows on a side. Rows of those are cut at random into ``pieces`` on
+    each side, and every pair of pieces is joined by itself, so no task holds such a key.
+    The plan is the same at every size; the set of heavy keys may be empty.
     """
-    keys = list(on)
-    if any(largest_key_share(spark, t, keys) > hot_share for t in (left, right)):
-        return _unbucketed(spark, left).join(_unbucketed(spark, right), keys, how)
-    return spark.table(left).join(spark.table(right), keys, how)
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'; leave other joins to Spark")
+    keys, a, b = list(on), spark.table(left), spark.table(right)
+    rest_a, rest_b = ([c for c in t.columns if c not in keys] for t in (a, b))
+    if clash := set(rest_a) & set(rest_b) or {"__a", "__b"} & {*rest_a, *rest_b}:
+        raise ValueError(f"columns of both tables: {', '.join(sorted(clash))}")
+    columns = [quoted(c) for c in (*keys, *rest_a, *rest_b)]
+    padding = [F.lit(None).cast(b.schema[c].dataType).alias(c) for c in rest_b]
+    heavy = heavy_keys(spark, left, keys, heavy_rows).unionByName(heavy_keys(spark, right, keys, heavy_rows)).distinct()
+
+    cold = a.dropna(subset=keys).join(heavy, keys, "left_anti").join(b.join(heavy, keys, "left_anti"), keys, how)
+    # Drawn at the scan, whose rows come in a fixed order, so a task that runs again draws the same pieces.
+    hot_a = a.withColumn("__a", F.floor(F.rand(1) * pieces).cast("int")).join(heavy, keys, "left_semi")
+    hot_b = b.withColumn("__b", F.floor(F.rand(2) * pieces).cast("int")).join(heavy, keys, "left_semi")
+    every = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))
+    cells_a, cells_b = hot_a.withColumn("__b", every), hot_b.withColumn("__a", every)
+    result = cold.select(*columns).unionByName(cells_a.join(cells_b, [*keys, "__a", "__b"]).select(*columns))
+    if how == "left":
+        alone = hot_a.join(hot_b.select(*[quoted(k) for k in keys]).distinct(), keys, "left_anti")
+        for rows in (alone, a.where(F.array_contains(F.array(*[quoted(k).isNull() for k in keys]), True))):
+            result = result.unionByName(rows.select(*[quoted(c) for c in (*keys, *rest_a)], *padding))
+    return result

@@ -129,6 +129,9 @@ def write_feed(
 
     def save(frame: DataFrame, save_mode: str) -> None:
         writer = frame.write.mode(save_mode).option("lineSep", fmt.line_sep)
+        if first_line:
+            # A task's file is never cut by the session's limit: its later pieces would have no header.
+            writer = writer.option("maxRecordsPerFile", 0)
         if gzip:
             writer = writer.option("compression", "gzip")
         if partition_by:

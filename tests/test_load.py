@@ -175,34 +175,52 @@ def bucketed(spark, left, right):
     return f"{database}.l", f"{database}.r"
 
 
-def test_bucketed_join_has_no_exchange(spark, plan):
+def test_counting_heavy_keys_needs_no_exchange(spark, plan):
     left = spark.range(5000).select((F.col("id") % 997).alias("k"), F.col("id").alias("a"))
-    right = spark.range(997).select(F.col("id").alias("k"), (F.col("id") * 2).alias("b"))
-    tables = bucketed(spark, left, right)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = distribution.distributed_join(spark, *tables, ["k"])
-        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
-        assert joined.exceptAll(left.join(right, "k")).isEmpty() and joined.count() == 5000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-
-
-def test_hot_key_goes_through_a_shuffle(spark, plan):
-    hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id"))
-    left = spark.range(6000).select(hot.alias("k"), F.col("id").alias("a"))
-    right = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("b"))
+    name, _ = bucketed(spark, left, left)
+    found = distribution.heavy_keys(spark, name, ["k"], 5)
+    assert "Exchange" not in plan(found)
+    assert sorted(r.k for r in found.collect()) == list(range(15))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("heavy_rows", [3, 10**6])
+def test_join_of_bucketed_tables_with_hot_keys(spark, how, heavy_rows):
+    def hot(odd):
+        key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 == odd, F.lit(None))
+        return key.when(F.col("id") % 10 == 4, F.lit(-odd)).otherwise(F.col("id"))
+
+    left = spark.range(600).select(hot(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(300).select(hot(2).alias("k"), (F.col("id") * 2).alias("b"))
     tables = bucketed(spark, left, right)
-    assert distribution.largest_key_share(spark, tables[0], ["k"]) > 0.3
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = distribution.distributed_join(spark, *tables, ["k"])
-        assert "ENSURE_REQUIREMENTS" in plan(joined)
-        assert joined.exceptAll(left.join(right, "k")).isEmpty() and joined.count() == 6000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joined = distribution.distributed_join(spark, *tables, ["k"], how, heavy_rows, pieces=4)
+    wanted = left.join(right, "k", how)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_join_of_bucketed_tables_refuses_what_it_cannot_cut(spark):
+    tables = bucketed(spark, spark.range(3).toDF("k").withColumn("a", F.lit(1)), spark.range(3).toDF("k").withColumn("a", F.lit(1)))
+    with pytest.raises(ValueError, match="columns of both"):
+        distribution.distributed_join(spark, *tables, ["k"])
+    with pytest.raises(ValueError, match="inner"):
+        distribution.distributed_join(spark, *tables, ["k"], "full")
+
+
+def test_redistribute_keeps_format_and_properties(spark):
+    table = f"{scratch_database(spark)}.t"
+    data = spark.range(100).withColumn("p", F.col("id") % 3)
+    data.write.format("orc").partitionBy("p").saveAsTable(table + "_parts")
+    with pytest.raises(ValueError, match="partitioned"):
+        distribution.redistribute(spark, table + "_parts", 4, ["id"])
+    assert spark.table(table + "_parts").count() == 100
+    data.write.format("orc").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner team' = 'it''s')".replace("''", "\\'"))
+    distribution.redistribute(spark, table, 4, ["id"])
+    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert details["Provider"].lower() == "orc" and details["Num Buckets"] == "4"
+    assert {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}["owner team"] == "it's"
+    assert spark.table(table).exceptAll(data).isEmpty() and spark.table(table).count() == 100
+    assert [t.name for t in spark.catalog.listTables(table.split(".")[0])] == ["t", "t_parts"]
 
 
 def test_redistribute_keeps_the_rows(spark):
