@@ -97,6 +97,26 @@ def test_bpe(docs, empty):
     assert bpe_table.encode_and_decode(empty, "doc_id", "text", tokenizer_file()).count() == 0
 
 
+def test_bpe_of_words_without_ids_and_of_equal_blocks(spark):
+    texts = ["\x01", "a \x01 b", " \x02\n", "same words", None, ""]
+    # Every task holds the same texts, with other keys, the same keys, and none.
+    rows = [(part if part < 3 else None, text) for part in (1, 2, 2, 3) for text in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    parts = frame.where("doc_id = 1").union(frame.where("doc_id = 2")).union(frame.where("doc_id = 2")).union(frame.where("doc_id IS NULL"))
+    found = bpe_table.encode_and_decode(parts, "doc_id", "text", tokenizer_file()).collect()
+    wanted = []
+    for key in [1, *[2] * 4, None]:
+        for text in texts:
+            ids = library().encode(text or "", add_special_tokens=False).ids
+            wanted.append((key, tuple(ids), library().decode(ids, skip_special_tokens=False)))
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in found) == Counter(wanted)
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [1, 255, 256, 65_536, (1 << 32) - 1]):
+        assert bpe_table.unpack_numbers(bpe_table.pack_numbers(bpe_table.np.array(numbers, "u8"))).tolist() == numbers
+
+
 def test_parts_have_the_tokens_of_the_whole():
     rng = random.Random(3)
     marks = "aB1é'\"<|>*.$%,-_漢́² Σs"
