@@ -47,6 +47,15 @@ def feed_typed_roundtrip(spark, sf):
     return read_feed(spark, path, data.schema)
 
 
+@check("SELECT doc_id, replace(text, chr(10), chr(9) || chr(92)) AS text, lang, source, n_chars FROM documents")
+def feed_lf_escaped(spark, sf):
+    # Records end with LF; every line end of a text becomes a delimiter and an escape character.
+    data, path = _documents(spark, sf), shared_folder(spark, "feed")
+    fmt = FeedFormat(delimiter="\t", null_marker="\\N", header=False, line_sep="\n", single_line=True)
+    write_feed(data.withColumn("text", F.replace("text", F.lit("\n"), F.lit("\t\\"))), path, fmt)
+    return read_feed(spark, path, data.schema, fmt)
+
+
 @check(f"SELECT * FROM {ORDERS}")
 def feed_prefix_gz(spark, sf):
     # One run directory per status below one prefix, gzip, as a load expects it.

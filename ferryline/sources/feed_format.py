@@ -23,6 +23,10 @@ class FeedFormat:
     The NULL marker is written as it is, so it reads back as NULL.
     ``legacy_null_escape`` escapes it like a value (``\\N`` leaves as ``\\\\N``);
     on reading such a marker is then recognised in its escaped spelling.
+
+    ``single_line`` promises that no value holds an LF. Only with it may records of an escaped
+    feed end with LF, as most text feeds do. A value with an LF stops the export, and a record that
+    ends within an escape, as an LF did stand in a value, is malformed.
     """
 
     delimiter: str = "`"
@@ -33,6 +37,7 @@ class FeedFormat:
     bom: bool = False
     line_sep: str = "\r\n"
     legacy_null_escape: bool = False
+    single_line: bool = False
 
     def __post_init__(self) -> None:
         if len(self.delimiter) != 1 or self.delimiter in "\r\n":
@@ -43,9 +48,9 @@ class FeedFormat:
             raise ValueError("a quoted feed cannot use the quote as delimiter")
         if self.line_sep not in ("\r\n", "\n"):
             raise ValueError("records end with CRLF or LF")
-        if not self.quote and self.line_sep == "\n" and self.escape:
+        if not self.quote and self.line_sep == "\n" and self.escape and not self.single_line:
             raise ValueError(
-                "an escaped LF would end the record: use CRLF, or escape='' after strip_newlines"
+                "an escaped LF would end the record: use CRLF, or single_line=True if no value holds one"
             )
         if any(c in self.null_marker for c in (self.delimiter, "\r", "\n")):
             raise ValueError("the NULL marker cannot hold the delimiter or a line end")
@@ -69,6 +74,8 @@ class FeedFormat:
             return name
         if not self.escape and any(c in name for c in self.specials):
             raise ValueError(f"column name {name!r} needs an escape character")
+        if self.single_line and "\n" in name:
+            raise ValueError(f"column name {name!r} holds an LF")
         for special in self.specials:
             name = name.replace(special, self.escape + special)
         return name

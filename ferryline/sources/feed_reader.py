@@ -35,6 +35,14 @@ def _split_fields(line: Column, fmt: FeedFormat) -> Column:
     return F.when(line.contains(fmt.escape), careful).otherwise(plain)
 
 
+def _ends_within_escape(line: Column, fmt: FeedFormat) -> Column:
+    """Whether a record ends with an escape character that escapes nothing."""
+    if not fmt.escape:
+        return F.lit(False)
+    tail = F.substring(line, F.length(F.rtrim(line, F.lit(fmt.escape))) + 1, F.length(line))
+    return line.endswith(fmt.escape) & (F.length(tail) % 2 == 1)
+
+
 def _decoded_fields(line: Column, fmt: FeedFormat) -> Column:
     """Texts of a record's fields, NULL for the marker.
 
@@ -143,7 +151,7 @@ def parse_lines(
     """Turn records (column ``value``) of an unquoted feed into typed columns.
 
     ``on_error="fail"``: a record with the wrong number of fields, or a bad value in
-    a column the query uses, stops the query. ``on_error="flag"``: malformed records
+    a column the query uses, stops the query; so does one that ends within an escape. ``on_error="flag"``: malformed records
     stay in and carry ``reject_reason`` and ``reject_line``.
 
     Works on batch and streaming frames; ``keep`` passes other columns through.
@@ -151,7 +159,8 @@ def parse_lines(
     records = lines.select(
         F.col("value").alias(_LINE), _decoded_fields(F.col("value"), fmt).alias(_FIELDS), *keep
     )
-    return _typed(records, schema, F.size(_FIELDS) != len(schema), on_error, keep)
+    broken = (F.size(_FIELDS) != len(schema)) | _ends_within_escape(F.col(_LINE), fmt)
+    return _typed(records, schema, broken, on_error, keep)
 
 
 def _header_is_distinct(schema: T.StructType, fmt: FeedFormat) -> bool:

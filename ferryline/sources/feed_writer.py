@@ -35,6 +35,8 @@ def _escaped(text: Column, fmt: FeedFormat) -> Column:
     if not fmt.escape:
         refused = F.raise_error(F.lit("a value needs escaping, but the feed has no escape character"))
         return F.when(_has_any(text, fmt.specials), refused).otherwise(text)
+    if fmt.single_line:
+        text = F.when(text.contains("\n"), F.raise_error(F.lit("a value holds an LF, but the feed is single_line"))).otherwise(text)
     for special in fmt.specials:
         text = F.replace(text, F.lit(special), F.lit(fmt.escape + special))
     return text

@@ -331,3 +331,26 @@ def test_lf_records_without_escape(spark, folder):
     assert raw(folder) == b"1`a\\b\n2`c\n"
     schema = T.StructType.fromDDL("id int, v string")
     assert [tuple(r) for r in read_feed(spark, folder, schema, fmt).collect()] == [(1, "a\\b"), (2, "c")]
+
+
+SINGLE = FeedFormat(delimiter="\t", null_marker="\\N", header=False, line_sep="\n", single_line=True)
+
+
+def test_escaped_records_that_end_with_lf(spark, folder):
+    rows = [(1, "a\tb\\"), (2, "c\rd"), (3, None), (4, "\\N"), (5, "")]
+    write_feed(spark.createDataFrame(rows, "id int, v string").coalesce(1), folder, SINGLE)
+    assert raw(folder) == b"1\ta\\\tb\\\\\n2\tc\\\rd\n3\t\\N\n4\t\\\\N\n5\t\n"
+    schema = T.StructType.fromDDL("id int, v string")
+    assert [tuple(r) for r in read_feed(spark, folder, schema, SINGLE).collect()] == rows
+
+
+def test_lf_inside_a_value_of_an_lf_feed(spark, folder):
+    with pytest.raises(PySparkException, match="single_line"):
+        write_feed(spark.createDataFrame([(1, "a\nb")], "id int, v string"), f"{folder}/out", SINGLE)
+    # Another writer's escaped LF: both halves are malformed, neither passes as a record.
+    spark.createDataFrame([("1\ta\\",), ("b",), ("2\tc\\\\",)], "value string").coalesce(1).write.text(f"{folder}/in")
+    schema = T.StructType.fromDDL("id int, v string")
+    flagged = read_feed(spark, f"{folder}/in", schema, SINGLE, on_error="flag").collect()
+    assert [r.reject_line for r in flagged] == ["1\ta\\", "b", None] and flagged[2].v == "c\\"
+    with pytest.raises(PySparkException, match="bad feed record"):
+        read_feed(spark, f"{folder}/in", schema, SINGLE).collect()
