@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ferryline.checks.registry import ORDERS, SEGMENTS, check, md5_bucket, orders, table
 from ferryline.operators import skew
-from ferryline.operators.distribution import distributed_tables, write_distributed
+from ferryline.operators.distribution import distributed_tables, stored_segments, write_distributed
 from ferryline.runtime import scratch_database, shared_folder
 
 LINE_COLUMNS = [
@@ -172,6 +172,15 @@ def table_skew_database(spark, sf):
     return skew.table_skew(distributed_tables(spark, database), SEGMENTS)
 
 
+@check()
+def table_skew_stored(spark, sf):
+    # Each table by its own buckets and by the hash that placed its rows.
+    database = scratch_database(spark)
+    write_distributed(table(spark, sf, "orders"), f"{database}.orders", 8, ["o_custkey"])
+    write_distributed(table(spark, sf, "customer"), f"{database}.customer", 5, ["c_nationkey"])
+    return skew.table_skew(distributed_tables(spark, database), stored_segments(spark, database), portable=False)
+
+
 @check(f"SELECT 'status=' || status AS folder, count(*) AS rows FROM {ORDERS} GROUP BY status")
 def partition_rows(spark, sf):
     path = shared_folder(spark, "table")

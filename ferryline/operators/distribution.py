@@ -101,6 +101,12 @@ def distributed_tables(spark: SparkSession, database: str) -> list[tuple[str, Da
     return sorted(found, key=lambda f: f[0])
 
 
+def stored_segments(spark: SparkSession, database: str) -> dict[str, int]:
+    """Number of buckets of every hashed table of a database, from the catalog."""
+    names = [name for name, _, _ in distributed_tables(spark, database)]
+    return {name: int(_table_details(spark, f"{database}.{name}")["Num Buckets"]) for name in names}
+
+
 def heavy_keys(spark: SparkSession, table: str, keys: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:
     """Keys with more than ``rows`` rows, NULLs apart; reads the key columns only.
 

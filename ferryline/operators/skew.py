@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -233,13 +233,18 @@ def skew_summary(rows_per_segment: DataFrame, segments: int) -> DataFrame:
 
 
 def table_skew(
-    tables: Sequence[tuple[str, DataFrame, Sequence[str]]], segments: int, k: int = 20, portable: bool = True
+    tables: Sequence[tuple[str, DataFrame, Sequence[str]]],
+    segments: int | Mapping[str, int],
+    k: int = 20,
+    portable: bool = True,
 ) -> DataFrame:
     """The ``k`` most unevenly spread of the given (name, table, keys).
 
     The tables are reduced to their rows per segment; everything after that handles
-    ``segments`` small rows per table.
+    ``segments`` small rows per table. ``segments`` may differ by table name.
+    With ``stored_segments`` and ``portable=False`` bucketed tables are judged as they are stored.
     """
+    number = {name: segments if isinstance(segments, int) else segments[name] for name, _, _ in tables}
     names = ["table_name", "distribution_key"]
     pairs = [(name, ",".join(keys)) for name, _, keys in tables]
     by_frame: dict[int, tuple[DataFrame, list[Column]]] = {}
@@ -247,15 +252,16 @@ def table_skew(
         place = F.struct(
             F.lit(name).alias("table_name"),
             F.lit(key).alias("distribution_key"),
-            segment_of([quoted(c) for c in keys], segments, portable).alias("segment"),
+            segment_of([quoted(c) for c in keys], number[name], portable).alias("segment"),
         )
         by_frame.setdefault(id(df), (df, []))[1].append(place)
     # A table with several candidate keys is read once.
     placed = _union(df.select(F.inline(F.array(*places))) for df, places in by_frame.values())
     # One aggregation over the union: every task counts its rows before the only shuffle.
     counted = placed.groupBy(*names, "segment").agg(F.count(F.lit(1)).alias("rows"))
-    every_segment = F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("segment")
-    every = counted.sparkSession.createDataFrame(pairs, "table_name string, distribution_key string").select(
+    every_segment = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("segment")
+    listed = [(name, key, number[name]) for name, key in pairs]
+    every = counted.sparkSession.createDataFrame(listed, "table_name string, distribution_key string, n int").select(
         *names, every_segment
     )
     return (

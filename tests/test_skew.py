@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.segments import segment_of
-from ferryline.operators import skew
+from ferryline.operators import distribution, skew
+from ferryline.runtime import scratch_database
 
 SEGMENTS = 16
 
@@ -160,3 +161,17 @@ def test_wide_table_union(spark):
     )
     got = {r.column_name: r.ndv for r in skew.key_scan(wide, 2).collect()}
     assert got == {f"c{n}": min(n + 1, 10) for n in range(12)}
+
+
+def test_skew_of_tables_as_stored(spark):
+    database = scratch_database(spark)
+    frames = {"even": (spark.range(5000).select("id"), 8), "few": (spark.range(5000).select((F.col("id") % 3).alias("id")), 5)}
+    for name, (df, buckets) in frames.items():
+        distribution.write_distributed(df, f"{database}.{name}", buckets, ["id"])
+    segments = distribution.stored_segments(spark, database)
+    assert segments == {"even": 8, "few": 5}
+    got = {r.table_name: r.skew_coeff for r in skew.table_skew(distribution.distributed_tables(spark, database), segments, portable=False).collect()}
+    for name, (_, buckets) in frames.items():
+        bucket = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.c000", 1).cast("int").alias("segment")
+        stored = spark.table(f"{database}.{name}").groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))
+        assert got[name] == skew.skew_summary(stored, buckets).first().skew_pct_all
