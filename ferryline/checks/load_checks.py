@@ -8,11 +8,11 @@ from ferryline.checks.registry import ORDERS, check, orders, table
 from ferryline.operators import distribution
 from ferryline.operators.load import RejectLimitExceeded, load, truncate, write_counted
 from ferryline.plans.catalog import ORDERS_SCHEMA, load_orders
-from ferryline.runtime import scratch_database, shared_folder
+from ferryline.runtime import materialize, remove, scratch_database, shared_folder
 from ferryline.sources.feed_format import LOAD_FORMAT
 from ferryline.sources.feed_reader import read_feed
 from ferryline.sources.feed_writer import write_feed
-from ferryline.streaming.ingest import ingest_stream
+from ferryline.streaming.ingest import ingest_ready, ingest_stream
 
 PER_STATUS = f"""SELECT status, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount
 FROM {ORDERS} GROUP BY status"""
@@ -157,6 +157,38 @@ def stream_ingest(spark, sf):
     return _per_status(spark.read.schema(ORDERS_SCHEMA).parquet(target))
 
 
+@check(
+    f"""SELECT CAST(1 AS INTEGER) AS step, run, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount
+FROM (SELECT 'run-1' AS run, * FROM {ORDERS} WHERE status <> 'O') GROUP BY run
+UNION ALL
+SELECT CAST(2 AS INTEGER), run, count(*), CAST(sum(amount) AS DECIMAL(18,2))
+FROM (SELECT CASE WHEN status = 'O' THEN 'run-2' ELSE 'run-1' END AS run, * FROM {ORDERS}
+      UNION ALL SELECT 'by hand', * FROM {ORDERS} WHERE order_id < 100) GROUP BY run"""
+)
+def ingest_ready_runs(spark, sf):
+    # The second run is half written at the first call. Rows loaded by hand stand beside the runs.
+    source, target = shared_folder(spark, "source"), f"{scratch_database(spark)}.orders"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA)
+    spark.sql(f"CREATE TABLE {target} ({columns}, run STRING) USING parquet PARTITIONED BY (run)")
+    data = orders(spark, sf)
+
+    def totals(step):
+        per_run = spark.table(target).groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(18,2)").alias("amount"))
+        return materialize(per_run.select(F.lit(step).alias("step"), "run", "n", "amount"), "totals")
+
+    write_feed(data.where("status <> 'O'"), f"{source}/run-1", LOAD_FORMAT, gzip=True, files=3)
+    write_feed(data.where("status = 'O' AND order_id % 2 = 0"), f"{source}/run-2", LOAD_FORMAT, files=3)
+    remove(spark, f"{source}/run-2/_SUCCESS")
+    ingest_ready(spark, source, ORDERS_SCHEMA, target)
+    first = totals(1)
+    load(data.where("order_id < 100").withColumn("run", F.lit("by hand")), target)
+    write_feed(data.where("status = 'O' AND order_id % 2 <> 0"), f"{source}/run-2", LOAD_FORMAT, files=3, mode="append")
+    ingest_ready(spark, source, ORDERS_SCHEMA, target, reject_limit=0)
+    # A call without news adds nothing.
+    ingest_ready(spark, source, ORDERS_SCHEMA, target)
+    return first.unionByName(totals(2))
+
+
 def _bucketed_pair(spark, sf):
     database = scratch_database(spark)
     lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "order_id")

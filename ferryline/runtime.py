@@ -76,6 +76,19 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folders_with(spark: SparkSession, parent: str, name: str) -> list[str]:
+    """Names, in order, of the folders directly below ``parent`` that hold a file ``name``."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(parent, f"*/{name}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(f.getPath().getParent().getName() for f in found or [])
+
+
+def depth(spark: SparkSession, path: str) -> int:
+    """Number of folder names in a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).depth()
+
+
 def data_files(spark: SparkSession, folder: str) -> int:
     """Files directly in a folder, without hidden ones and markers; 0 if there is no such folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ferryline.operators.load import LoadResult, load
+from ferryline.runtime import depth, folders_with
 from ferryline.sources.feed_format import LOAD_FORMAT, FeedFormat
 from ferryline.sources.feed_reader import drop_headers, parse_lines
 
@@ -59,3 +63,54 @@ def ingest_stream(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start(target)
+
+
+def ingest_ready(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    fmt: FeedFormat = LOAD_FORMAT,
+    *,
+    run_column: str = "run",
+    marker: str = "_SUCCESS",
+    reject_limit: int | None = None,
+) -> LoadResult:
+    """Load the finished run directories below ``source`` that the table ``target`` does not have yet.
+
+    A run is finished once its directory holds the file ``marker``; others are left alone until
+    then. All new runs are read in one job. The table is partitioned by ``run_column``, a text
+    that holds the name of the run. These partitions are the memory of what was loaded, and a load replaces
+    its own ones, so a call after a failure neither loses nor doubles a row. Rows that
+    ``load`` puts beside them are visible as in any table. A run without good rows leaves no
+    partition and is read again.
+
+    ``reject_limit`` and the result are those of ``load``; without a new run nothing is published.
+    Names of runs have letters, digits, ``_``, ``-`` and ``.``.
+    """
+    if fmt.quote or fmt.header:
+        raise ValueError("feeds of runs are unquoted and have no header")
+    columns = {c.name: c for c in spark.catalog.listColumns(target)}
+    if run_column not in columns or not columns[run_column].isPartition or columns[run_column].dataType != "string":
+        raise ValueError(f"{target} has no partition column {run_column} of texts")
+    loaded = {
+        value.removeprefix(f"{run_column}=")
+        for row in spark.sql(f"SHOW PARTITIONS {target}").toLocalIterator()
+        for value in row[0].split("/")
+        if value.startswith(f"{run_column}=")
+    }
+    runs = [name for name in folders_with(spark, source, marker) if name not in loaded]
+    if odd := [name for name in runs if not re.fullmatch(r"[\w.-]+", name, re.ASCII)]:
+        raise ValueError(f"names of runs: {', '.join(odd)}")
+    if not runs:
+        return LoadResult(target, "replace_partition", 0, 0, False)
+    folders = F.split(F.expr("parse_url(_metadata.file_path, 'PATH')"), "/")
+    lines = (
+        spark.read.schema("value string")
+        .option("lineSep", fmt.line_sep)
+        .option("recursiveFileLookup", "true")
+        .text([f"{source.rstrip('/')}/{name}" for name in runs])
+        .select("value", F.get(folders, F.lit(depth(spark, source) + 1)).alias(run_column))
+    )
+    feed = parse_lines(lines, schema, fmt, "fail" if reject_limit is None else "flag", [run_column])
+    return load(feed, target, mode="replace_partition", reject_limit=reject_limit)

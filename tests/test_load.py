@@ -15,7 +15,7 @@ from ferryline.runtime import scratch_database, shared_folder
 from ferryline.sources.feed_format import LOAD_FORMAT, FeedFormat
 from ferryline.sources.feed_reader import read_feed
 from ferryline.sources.feed_writer import write_feed
-from ferryline.streaming.ingest import ingest_stream
+from ferryline.streaming.ingest import ingest_ready, ingest_stream
 
 LINES = [
     "1\t10\t2026-08-01\t10.50\tPAID",
@@ -291,3 +291,46 @@ def test_staged_good_records_are_removed(spark, feed_dir, table):
     load(flagged(spark, feed_dir), table, reject_limit=2)
     (new,) = set(base.glob("staged-load-*")) - before
     assert not (new / "__rejected=false").exists()
+
+
+@pytest.fixture
+def run_table(spark):
+    name = f"{scratch_database(spark)}.orders"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA)
+    spark.sql(f"CREATE TABLE {name} ({columns}, run STRING) USING parquet PARTITIONED BY (run)")
+    return name
+
+
+def _run(spark, path, lines):
+    spark.createDataFrame([(v,) for v in lines], "value string").write.option("lineSep", "\r\n").text(path)
+
+
+def test_ready_runs_are_loaded_once(spark, folder, run_table):
+    good = [LINES[0], LINES[4]]
+    source = f"{folder}/some runs%20here"
+    _run(spark, f"{source}/run-1", good)
+    _run(spark, f"{source}/run.2/inner", good)  # its marker is not at the top of the run
+    assert ingest_ready(spark, source, ORDERS_SCHEMA, run_table).rows_loaded == 2
+    assert [r.run for r in spark.table(run_table).select("run").distinct().collect()] == ["run-1"]
+    spark.createDataFrame([("",)], "value string").write.mode("append").text(f"{source}/run.2/other")
+    nothing = ingest_ready(spark, source, ORDERS_SCHEMA, run_table)
+    assert (nothing.rows_loaded, nothing.published) == (0, False)
+
+
+def test_ready_runs_with_bad_records(spark, folder, run_table):
+    _run(spark, f"{folder}/a", [LINES[0]])
+    ingest_ready(spark, folder, ORDERS_SCHEMA, run_table)
+    _run(spark, f"{folder}/b", LINES)
+    with pytest.raises(PySparkException):
+        ingest_ready(spark, folder, ORDERS_SCHEMA, run_table)
+    with pytest.raises(RejectLimitExceeded):
+        ingest_ready(spark, folder, ORDERS_SCHEMA, run_table, reject_limit=1)
+    assert spark.table(run_table).count() == 1
+    result = ingest_ready(spark, folder, ORDERS_SCHEMA, run_table, reject_limit=2)
+    assert (result.rows_loaded, result.rows_rejected, result.errors.count()) == (3, 2, 2)
+    assert {r.run: r["count"] for r in spark.table(run_table).groupBy("run").count().collect()} == {"a": 1, "b": 3}
+
+
+def test_ready_runs_need_their_partition_column(spark, folder, table):
+    with pytest.raises(ValueError, match="partition column"):
+        ingest_ready(spark, folder, ORDERS_SCHEMA, table)
