@@ -330,6 +330,29 @@ def test_parts_that_are_no_article():
     assert dom.parse("<p>a<p>b").elements()[1].text() == "b"
 
 
+BODY = "Long words of the article stand here in a row."
+
+
+@pytest.mark.parametrize(
+    "html, wanted",
+    [
+        (f"<div class='content has-sidebar'><p>{BODY}</p></div>", BODY),
+        (f"<article class='post comments-open'><p>{BODY}</p></article>", BODY),
+        (f"<div class='overflow-hidden page-modal'><article><p>{BODY}</p></article></div>", BODY),
+        (f"<div class='modal'><article class='widget'><p>{BODY}</p></article></div>", BODY),
+        (f"<div class='sidebar'><p>{BODY}</p></div>", BODY),
+        (f"<form id='aspnet'><main><p>{BODY}</p><input></main></form>", BODY),
+        (f"<article><h2 id='related-work'>Related</h2><section id='notice-period'><p>{BODY}</p></section></article>", f"Related\n\n{BODY}"),
+        (f"<article><p>{BODY}</p><ul><li><a>a</a><li><a>b</a><li><a>c</a></ul></article>", f"{BODY}\n\na\n\nb\n\nc"),
+        (f"<div class='x'><ul><li><a>a</a><li><a>b</a><li><a>c</a></ul></div><div><p>{BODY}</p></div>", BODY),
+        (f"<div class='ad'>{BODY} {BODY}</div><article><p>short</p><div class='ad'>b</div></article>", "short"),
+        (f"<article><p>{BODY}</p></article><div class='related'><article><p>{BODY} {BODY} {BODY}</p></article></div>", BODY),
+    ],
+)
+def test_marks_do_not_cut_the_article(html, wanted):
+    assert wrapper.main_text(f"<html><body>{html}</body></html>", None) == wanted
+
+
 # -- pipeline -------------------------------------------------------------------------------
 
 
