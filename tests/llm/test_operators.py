@@ -353,6 +353,21 @@ def test_marks_do_not_cut_the_article(html, wanted):
     assert wrapper.main_text(f"<html><body>{html}</body></html>", None) == wanted
 
 
+@pytest.mark.parametrize(
+    "html, wanted",
+    [
+        ("<div>" + "".join(f"<article><p>{BODY} {n}</p></article>" for n in range(10)) + "</div>", "\n\n".join(f"{BODY} {n}" for n in range(10))),
+        (f"<main><p>intro</p><article><p>{BODY}</p></article><p>end</p></main>", f"intro\n\n{BODY}\n\nend"),
+        (f"<div><div><h1>Title</h1><div>intro</div><div class='body'><div><p>{BODY} {BODY}</p></div></div></div></div>", f"Title\n\nintro\n\n{BODY} {BODY}"),
+        (f"<div><div><p>first {BODY}</p></div><div><p>{BODY} {BODY} {BODY}</p></div></div>", f"first {BODY}\n\n{BODY} {BODY} {BODY}"),
+        (f"<div class='body'><p>{BODY} {BODY}</p></div><article><p>teaser</p></article>", f"{BODY} {BODY}\n\nteaser"),
+        (f"<div>menu</div><article><header><h1>Title</h1></header><p>{BODY}</p></article>", f"Title\n\n{BODY}"),
+    ],
+)
+def test_all_parts_of_the_article_are_returned(html, wanted):
+    assert wrapper.main_text(f"<html><body>{html}</body></html>", None) == wanted
+
+
 # -- pipeline -------------------------------------------------------------------------------
 
 
