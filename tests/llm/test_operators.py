@@ -368,6 +368,31 @@ def test_all_parts_of_the_article_are_returned(html, wanted):
     assert wrapper.main_text(f"<html><body>{html}</body></html>", None) == wanted
 
 
+def texts_of_host(pages):
+    slots = [wrapper.page_slots(html)[1] for html in pages]
+    template = slots[0]
+    wrapper.drop_members(template)
+    for other in slots[1:]:
+        wrapper.fold(template, other)
+    template = wrapper.constants(wrapper.tidy(template))
+    return [wrapper.main_text(html, template) for html in pages]
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<p>{0}</p><p>Share this line</p><p>{0} more</p>",
+        "<div><p>Notice to all</p></div><div><p>{0}</p><p>{0} more</p></div>",
+        "<article id='post-{1}' class='post-{1} post'><p>Share this line</p><p>{0}</p><p>{0} more</p></article>",
+        "<article id='{1}-slug'>" + "".join(f"<p>Line {n} of the site</p>" for n in range(40)) + "<p>{0}</p><p>{0} more</p></article>",
+    ],
+)
+def test_constant_members_of_a_row_are_template(html):
+    own = [f"{BODY} {n} " + " ".join(f"v{n}x{i}" for i in range(9)) for n in range(20)]
+    found = texts_of_host([html.format(text, n) for n, text in enumerate(own)])
+    assert found == [f"{text}\n\n{text} more" for text in own]
+
+
 # -- pipeline -------------------------------------------------------------------------------
 
 
