@@ -393,6 +393,18 @@ def test_constant_members_of_a_row_are_template(html):
     assert found == [f"{text}\n\n{text} more" for text in own]
 
 
+@pytest.mark.parametrize("pages", [2, 3, 7, 8, 20])
+def test_two_different_pages_make_a_template(pages):
+    legal = "All rights of this site are reserved by its owners. " * 20
+    html = "<div class='top'>Welcome</div><noscript>" + "Switch it on. " * 99 + "</noscript><h1>Title {0}</h1><p>text {0}</p><div class='end'>" + legal + "</div>"
+    assert texts_of_host([html.format(n) for n in range(pages)]) == [f"Title {n}\n\ntext {n}" for n in range(pages)]
+
+
+def test_copies_of_a_page_make_no_template():
+    html = "<nav>menu {0}</nav><div class='ad'>buy {0}</div><article><h1>Title</h1><p>text</p></article>"
+    assert texts_of_host([html.format(n) for n in range(9)]) == ["Title\n\ntext"] * 9
+
+
 # -- pipeline -------------------------------------------------------------------------------
 
 
