@@ -27,10 +27,10 @@ def _as_before(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without letters, empty and NULL ones go."""
+    """Documents with letters; texts without any, empty and NULL ones go. Without labels all texts with letters stay."""
     languages = language_id.prototypes(docs, "text", "lang")
-    found = language_id.identify(_other_columns(docs), "text", languages, ["doc", "text"])
-    return _as_before(found.where("lang_pred != 'und'"), docs)
+    found = language_id.identify(_other_columns(docs), "text", languages, ["doc", "text"], "lettered")
+    return _as_before(found.where("lettered"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from ferryline.llm.words import per_text, returning, text_batches
 
@@ -171,8 +171,8 @@ def prototypes(docs: DataFrame, text: str, label: str, per_label: int = 4_000) -
     return {name: out[name] / max(np.linalg.norm(out[name]), 1e-9) for name in sorted(out)}
 
 
-def identify(docs: DataFrame, text: str, languages: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``.
+def identify(docs: DataFrame, text: str, languages: dict[str, np.ndarray], keep: list[str], lettered_as: str | None = None) -> DataFrame:
+    """The columns ``keep`` with ``lang_pred`` and ``score``, and whether a text has letters in a column ``lettered_as``.
 
     The score is the cosine with the prototype, 0 where that is negative. ``und`` with score 0
     is given to NULL and to texts without letters, or if there is no prototype.
@@ -183,18 +183,21 @@ def identify(docs: DataFrame, text: str, languages: dict[str, np.ndarray], keep:
     def make():
         space = TrigramSpace()
 
-        def predict(texts: list[str | None]) -> tuple[list, list]:
+        def predict(texts: list[str | None]) -> tuple[list, ...]:
             if not names:
-                return ["und"] * len(texts), [0.0] * len(texts)
+                lettered = [any(map(str.isalpha, (t or "").lower())) for t in texts] if lettered_as else []
+                return (["und"] * len(texts), [0.0] * len(texts), lettered)[: len(added)]
             vectors, lettered = space.bundles(texts)
             cosine = vectors @ matrix.T / np.linalg.norm(vectors, axis=1, keepdims=True).clip(1e-9)
             best = cosine.argmax(axis=1)
             scores = np.where(lettered, cosine[np.arange(len(texts)), best].clip(0, 1), 0.0)
-            return [names[b] if ok else "und" for b, ok in zip(best, lettered)], scores
+            return ([names[b] if ok else "und" for b, ok in zip(best, lettered)], scores, lettered.tolist())[: len(added)]
 
         return predict
 
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    if lettered_as:
+        added.append(StructField(lettered_as, BooleanType()))
     return per_text(docs, text, keep, added, make)
 
 

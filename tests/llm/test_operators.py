@@ -146,6 +146,12 @@ def test_texts_without_letters_have_no_language(docs, empty):
     assert none == {} and {r.lang_pred for r in language_id.identify(docs, "text", none, ["doc_id"]).collect()} == {"und"}
 
 
+def test_unlabelled_texts_with_letters_pass_the_language_stage(spark, docs):
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, bare, "")
+    assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 7, 8, 9, 10, 11, 12, 13, None} and kept.columns == bare.columns
+
+
 # -- copies -------------------------------------------------------------------------------
 
 
