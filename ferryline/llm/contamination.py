@@ -10,26 +10,30 @@ window is a set of shingles (runs of ``SHINGLE`` words, or of the whole window i
    bound).
 4. There the words must equal those of the window, one by one.
 
-The benchmark is the stated query set. It is taken in blocks of at most ``BLOCK_WINDOWS`` windows,
-whose size bounds what is broadcast; documents pass through all blocks without a shuffle.
+Tasks cut the benchmark into a table of distinct windows and another of their shingles. One pass over
+the documents counts the places. The windows with their prefixes are taken in blocks of at most
+``BLOCK_WINDOWS``, whose size bounds what is broadcast; documents pass through all blocks without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ferryline.llm.words import ALNUM, LOWER, Words, complete, hash_words, returning, slices, text_batches, windows
+from ferryline.runtime import materialize
 
 SHINGLE = 3
 BLOCK_WINDOWS = 50_000
+#: Windows of an item in a batch.
+ROWS = 5_000
 _FILTER_BITS = 22
 
 
@@ -41,43 +45,124 @@ def spelled(words: Words, start: int, count: int) -> bytes:
     return b" ".join([words.data[a:b].tobytes() for a, b in zip(words.starts[start : start + count], words.ends[start : start + count])])
 
 
+def distinct_windows(items: DataFrame, key: str, text: str, length: int) -> DataFrame:
+    """Table of the benchmark's distinct windows: ``id``, ``spelling``, ``length``, ``hash`` and ``items``, their sorted ids.
+
+    Items without id have windows too, but are in no list.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in slices(batch, "t"):
+                words = words_of(data, bounds)
+                for item, a, b in zip(part.column(0).to_pylist(), words.first.tolist(), words.first[1:].tolist()):
+                    size = min(length, b - a)
+                    hashes = windows(words.hashes[a:b], size).view(np.int64) if size else ()
+                    for low in range(0, len(hashes), ROWS):
+                        own = hashes[low : low + ROWS]
+                        texts = [spelled(words, a + low + n, size).decode() for n in range(len(own))]
+                        yield pa.RecordBatch.from_pydict({"i": pa.array([item] * len(own), pa.string()), "spelling": texts, "length": pa.array([size] * len(own), pa.int32()), "hash": own})
+
+    frame = items.select(F.col(key).cast("string").alias("i"), F.col(text).cast("string").alias("t")).where("t IS NOT NULL")
+    found = frame.mapInArrow(returning(run), "i string, spelling string, length int, hash long")
+    whole = found.groupBy("spelling", "length", "hash").agg(F.array_sort(F.collect_set("i")).alias("items"))
+    return materialize(whole.withColumn("id", F.monotonically_increasing_id()), "windows")
+
+
+def shingles(distinct: DataFrame) -> DataFrame:
+    """Each shingle of each window: ``id``, ``size``, ``s`` and its ``offset`` in the window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in slices(batch, "spelling"):
+                words = words_of(data, bounds)
+                for n, a, b in zip(part.column(0).to_pylist(), words.first.tolist(), words.first[1:].tolist()):
+                    size = min(SHINGLE, b - a)
+                    own = windows(words.hashes[a:b], size).view(np.int64)
+                    arrays = [np.full(len(own), n), np.full(len(own), size, np.int32), own, np.arange(len(own), dtype=np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["id", "size", "s", "offset"])
+
+    return distinct.select("id", "spelling").mapInArrow(returning(run), "id long, size int, s long, offset int")
+
+
+def _bits(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+
+
+def rarity(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame:
+    """``size``, ``s`` and ``n``, the places in all documents, of shingles; among them all of ``rows`` that occur.
+
+    A bit table of ``rows`` leaves most others out. One pass over the documents.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[int, np.ndarray] = {}
+        for batch in batches:
+            sizes, values = np.array(batch.column(0)), np.array(batch.column(1)).view(np.uint64)
+            for size in np.unique(sizes).tolist():
+                tables.setdefault(size, np.zeros(1 << _FILTER_BITS, bool))[_bits(values[sizes == size])] = True
+        for size, table in tables.items():
+            yield pa.RecordBatch.from_pydict({"size": pa.array([size], pa.int32()), "bits": [zlib.compress(np.packbits(table).tobytes(), 1)]})
+
+    tables: dict[int, np.ndarray] = {}
+    for row in rows.select("size", "s").mapInArrow(returning(mark), "size int, bits binary").toLocalIterator():
+        more = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+        tables[row["size"]] = tables[row["size"]] | more if row["size"] in tables else more
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = {size: np.unpackbits(table).view(bool) for size, table in shared.value.items()}
+        for batch in batches:
+            for _, data, bounds in slices(batch, "t"):
+                words = words_of(data, bounds)
+                for size, table in bits.items():
+                    own = windows(words.hashes, size)
+                    own, n = np.unique(own[complete(words, size) & table[_bits(own)]], return_counts=True)
+                    arrays = [np.full(len(own), size, np.int32), own.view(np.int64), n.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["size", "s", "n"])
+
+    counted = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(returning(count), "size int, s long, n long")
+    return counted.groupBy("size", "s").agg(F.sum("n").alias("n"))
+
+
+def prefixes(distinct: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The windows with ``size``, ``shingle`` and ``offset`` of their rarest shingle.
+
+    Windows with a shingle that no document has are left out: no document can contain them.
+    """
+    rows = materialize(shingles(distinct), "shingles")
+    ranked = rows.join(rarity(docs, text, rows), ["size", "s"], "left").groupBy("id", "size")
+    rarest = ranked.agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "s", "offset")).alias("p")).where("p.n > 0")
+    found = distinct.join(rarest, "id").select("spelling", "length", "hash", "items", "size", F.col("p.s").alias("shingle"), "p.offset")
+    return materialize(found, "prefixes")
+
+
 @dataclass
 class Block:
-    """Distinct windows by their words: length, hash, shingle hashes and items."""
+    """Some windows: words, hash and items; by shingle size the prefix entries (shingle, offset in the window, window, window length)."""
 
-    spelling: dict[bytes, int] = field(default_factory=dict)
-    lengths: list[int] = field(default_factory=list)
+    spelling: list[bytes] = field(default_factory=list)
     hashes: list[int] = field(default_factory=list)
-    shingles: list[np.ndarray] = field(default_factory=list)
-    items: list[set[str]] = field(default_factory=list)
-
-    def add(self, item: str, text: str, length: int) -> None:
-        data = np.frombuffer(text.encode(), np.uint8)
-        words = words_of(data, np.array([0, len(data)]))
-        size = min(length, len(words.starts))
-        if not size:
-            return
-        small = windows(words.hashes, min(SHINGLE, size))
-        for start, value in enumerate(windows(words.hashes, size).tolist()):
-            spelling = spelled(words, start, size)
-            n = self.spelling.setdefault(spelling, len(self.spelling))
-            if n == len(self.lengths):
-                self.lengths.append(size)
-                self.hashes.append(value)
-                self.shingles.append(small[start : start + size - min(SHINGLE, size) + 1])
-                self.items.append(set())
-            self.items[n].add(item)
-
-
-def blocks(items: DataFrame, key: str, text: str, length: int, limit: int = BLOCK_WINDOWS) -> Iterator[Block]:
-    """The benchmark in blocks; the driver holds one block at a time. Items without id or words take no part."""
+    items: list[list[str]] = field(default_factory=list)
+    entries: dict[int, list[tuple[int, int, int, int]]] = field(default_factory=dict)
+
+    def add(self, row: Row) -> None:
+        entry = row["shingle"] & (2**64 - 1), row["offset"], len(self.spelling), row["length"]
+        self.entries.setdefault(row["size"], []).append(entry)
+        self.spelling.append(row["spelling"].encode())
+        self.hashes.append(row["hash"] & (2**64 - 1))
+        self.items.append(row["items"])
+
+
+def blocks(found: DataFrame, limit: int = BLOCK_WINDOWS) -> Iterator[Block]:
+    """The table of prefixes in blocks; the driver holds one block at a time."""
     block = Block()
-    for row in items.select(F.col(key).cast("string").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
-        block.add(row["i"], row["t"], length)
-        if len(block.lengths) >= limit:
+    for row in found.toLocalIterator():
+        block.add(row)
+        if len(block.spelling) >= limit:
             yield block
             block = Block()
-    if block.lengths:
+    if block.spelling:
         yield block
 
 
@@ -97,50 +182,14 @@ class Lookup:
         return place[same], at[same]
 
 
-def rarity(docs: DataFrame, text: str, block: Block) -> dict[int, int]:
-    """Places in all documents of the block's shingles; those that never occur are left out."""
-    sizes = {s: np.concatenate([x for x, n in zip(block.shingles, block.lengths) if min(SHINGLE, n) == s]) for s in {min(SHINGLE, n) for n in block.lengths}}
-    shared = docs.sparkSession.sparkContext.broadcast({s: np.unique(v) for s, v in sizes.items()})
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookups = {s: Lookup(v) for s, v in shared.value.items()}
-        totals = {s: np.zeros(len(look.values), np.int64) for s, look in lookups.items()}
-        for batch in batches:
-            for _, data, bounds in slices(batch, "t"):
-                words = words_of(data, bounds)
-                for s, look in lookups.items():
-                    _, at = look.places(windows(words.hashes, s), complete(words, s))
-                    totals[s] += np.bincount(at, minlength=len(look.values))
-        for s, look in lookups.items():
-            seen = totals[s] > 0
-            yield pa.RecordBatch.from_arrays([pa.array(look.values[seen].view(np.int64)), pa.array(totals[s][seen])], names=["s", "n"])
-
-    counted = docs.select(F.col(text).alias("t")).mapInArrow(returning(count), "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    return {row["s"] & (2**64 - 1): row["n"] for row in counted.toLocalIterator()}
-
-
-def prefixes(block: Block, counts: dict[int, int]) -> dict[int, list[tuple[int, int, int, int]]]:
-    """For each shingle size the prefix entries (shingle, offset in the window, window, window length).
-
-    Windows with a shingle that no document has are left out: no document can contain them.
-    """
-    found = defaultdict(list)
-    for n, shingles in enumerate(block.shingles):
-        ranked = [(counts.get(s, 0), s, offset) for offset, s in enumerate(shingles.tolist())]
-        rare, shingle, offset = min(ranked)
-        if rare:
-            found[min(SHINGLE, block.lengths[n])].append((shingle, offset, n, block.lengths[n]))
-    return dict(found)
-
-
 class Matcher:
     """The windows of a block that occur in texts."""
 
-    def __init__(self, block: Block, entries: dict[int, list[tuple[int, int, int, int]]]):
-        self.spelling, self.items = list(block.spelling), [sorted(i) for i in block.items]
+    def __init__(self, block: Block):
+        self.spelling, self.items = block.spelling, block.items
         self.hashes = np.array(block.hashes, np.uint64)
         self.sizes = {}
-        for size, rows in entries.items():
+        for size, rows in block.entries.items():
             rows = sorted(rows)
             shingle = np.array([r[0] for r in rows], np.uint64)
             look = Lookup(shingle)
@@ -168,11 +217,11 @@ class Matcher:
                         yield t, s, n, w
 
 
-def _search(frame: DataFrame, block: Block, counts: dict[int, int]) -> DataFrame:
-    shared = frame.sparkSession.sparkContext.broadcast((block, prefixes(block, counts)))
+def _search(frame: DataFrame, block: Block) -> DataFrame:
+    shared = frame.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(*shared.value)
+        matcher = Matcher(shared.value)
         for batch in batches:
             for part, data, bounds in slices(batch, "t"):
                 words = words_of(data, bounds)
@@ -203,7 +252,8 @@ def contaminated_words(docs: DataFrame, text: str, keep: list[str], items: DataF
 
     ``hits`` lists the words inside occurrences of windows as from, to, from, to, ... in order;
     ``items`` has the ids, as sorted strings, of items with an occurring window. Words are runs of
-    letters, digits and characters beyond ASCII, with A to Z lower-cased. NULL has no words.
+    letters, digits and characters beyond ASCII, with A to Z lower-cased. NULL has no words. Passages of
+    items without id are hits too.
     """
     text_batches(docs)
     none = F.array().cast(ArrayType(IntegerType())), F.array().cast(ArrayType(StringType()))
@@ -211,10 +261,10 @@ def contaminated_words(docs: DataFrame, text: str, keep: list[str], items: DataF
     kept = F.struct(*others, F.lit(0).alias("_")).alias("kept_columns")
     frame = docs.select(kept, F.lit(0).cast("long").alias("n_words"), none[0].alias("hits"), none[1].alias("items"), F.col(text).cast("string").alias("t"))
     found = False
-    for block in blocks(items, item_key, item_text, length):
-        frame, found = _search(frame, block, rarity(docs, text, block)), True
+    for block in blocks(prefixes(distinct_windows(items, item_key, item_text, length), docs, text)):
+        frame, found = _search(frame, block), True
     if not found:
-        frame = _search(frame, Block(), {})
+        frame = _search(frame, Block())
     back = [F.col("t").alias(c) if c == text else F.col("kept_columns").getField(c).alias(c) for c in keep]
     return frame.select(*back, "n_words", "hits", "items")
 

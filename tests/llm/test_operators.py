@@ -249,6 +249,21 @@ def test_contamination(spark, docs, empty, monkeypatch, block):
     assert contamination.contaminated_words(empty, "text", ["doc_id"], items, "item_id", "text").count() == 0
 
 
+def test_items_without_id_are_hits(spark, docs):
+    items = spark.createDataFrame([(None, PASSAGE), (7, "one two"), (None, "one"), (8, "absent words")], "item_id long, text string")
+    found = contamination.contaminated_words(docs, "text", ["doc_id"], items, "item_id", "text").select("doc_id", *contamination.figures(), "items").collect()
+    got = {r.doc_id: r for r in found}
+    assert (got[9].n_hit, got[9].n_items, got[9]["items"], got[9].contaminated) == (60, 0, [], True)
+    assert (got[11].n_hit, got[11]["items"]) == (2, ["7"]) and got[1].n_hit == 0
+
+
+def test_one_long_item_is_cut_into_rows(spark, docs, monkeypatch):
+    monkeypatch.setattr(contamination, "ROWS", 10)
+    items = spark.createDataFrame([(None, LONG), (3, LONG)], "item_id long, text string").where("item_id = 3")
+    windows = contamination.distinct_windows(items.withColumn("text", F.substring("text", 1, 3000)), "item_id", "text", 13)
+    assert windows.count() == len(alnum(LONG[:3000])) - 12 and windows.where("items != array('3')").count() == 0
+
+
 # -- archive, shards, search --------------------------------------------------------------
 
 
