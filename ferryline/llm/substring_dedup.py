@@ -1,9 +1,9 @@
 """Removal of long passages that a document with a smaller id has too.
 
-The corpus is taken as a De Bruijn graph of tokens: every run of ``length`` words (a window) is an
-edge. Each window belongs to one node, the smallest hash of its runs of ``NODE_WORDS`` words, which
-depends on its words alone. Consecutive windows of a document at one node make a path, stored as
-one row with the digest of its words.
+Minimizer runs stand for the compaction of a De Bruijn graph; no graph is built. Every run of
+``length`` words is a window. Each window belongs to one node, its minimizer: the smallest hash of
+its runs of ``NODE_WORDS`` words, which depends on its words alone. Consecutive windows of a
+document at one node make a path, stored as one row with the digest of its words.
 
 1. Paths with the same words are put together; the smallest document that has them is their source.
    All windows of a path are repeated if its source is a smaller document.
