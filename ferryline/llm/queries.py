@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, language_id, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
+from ferryline.llm import bpe_table, contamination, language_id, merkle, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 from ferryline.runtime import shared_folder
 
@@ -150,3 +150,59 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     texts = wrapper.extract(read(spark, sf, "pages"), "url", "html", ["page_id", "url"])
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _field(value: str) -> str:
+    """A field of a leaf in DuckDB."""
+    return f"coalesce(octet_length(encode({value}))::VARCHAR || ':' || {value}, '-')"
+
+
+_HEAD = " || ".join(_field(v) for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR"))
+
+
+@query(
+    f"""
+WITH RECURSIVE
+c AS (SELECT *, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '0'), ''),
+             lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc FROM documents),
+d AS (SELECT doc_id, lang, sha256({_HEAD} || {_field("text")}) AS leaf,
+             sha256({_HEAD} || {_field("CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")}) AS found
+      FROM c),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n,
+             dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM d),
+u AS (SELECT 0 AS lv, g, r AS i, leaf AS h, n FROM l
+      UNION ALL
+      SELECT lv + 1, g, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM u WHERE n > 1 GROUP BY lv, g, i // 8, n),
+s AS (SELECT g, h FROM u WHERE n = 1),
+t AS (SELECT 0 AS lv, g AS i, h, count(*) OVER () AS n FROM s
+      UNION ALL
+      SELECT lv + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM t WHERE n > 1 GROUP BY lv, i // 8, n),
+a AS (SELECT 0 AS st, lv, g, i, h FROM u WHERE n > 1 UNION ALL SELECT 1, t.lv, s.g, t.i, t.h FROM t, s WHERE t.n > 1),
+o AS (SELECT g, r, a.st, a.lv, a.i, a.h, CASE WHEN st = 0 THEN r ELSE g END // (8 ** a.lv)::BIGINT AS me FROM l JOIN a USING (g)
+      WHERE a.i // 8 = CASE WHEN st = 0 THEN r ELSE g END // (8 ** (a.lv + 1))::BIGINT),
+p AS (SELECT g, r, coalesce(string_agg(h, '' ORDER BY st, lv, i) FILTER (i <> me), '') AS path FROM o GROUP BY ALL),
+q AS (SELECT g, r, st * 100 + lv AS k, i < me AS before, string_agg(h, '' ORDER BY i) FILTER (i <> me) AS hs FROM o GROUP BY ALL),
+w AS (SELECT g, r, k, row_number() OVER (PARTITION BY g, r ORDER BY k) AS step, coalesce(max(hs) FILTER (before), '') AS lft, coalesce(max(hs) FILTER (NOT before), '') AS rgt
+      FROM q GROUP BY g, r, k),
+f AS (SELECT g, r, 0 AS step, found AS h FROM l
+      UNION ALL
+      SELECT f.g, f.r, f.step + 1, sha256(lft || f.h || rgt) FROM f JOIN w ON w.g = f.g AND w.r = f.r AND w.step = f.step + 1),
+e AS (SELECT g, r, arg_max(h, step) AS folded FROM f GROUP BY g, r)
+SELECT l.doc_id, l.leaf, s.h AS subroot, z.h AS root, sha256(coalesce(path, '')) AS proof_sha256, folded AS folded_root, folded = z.h AS verified
+FROM l JOIN s USING (g) JOIN e USING (g, r) LEFT JOIN p USING (g, r), (SELECT h FROM t WHERE n = 1) z
+"""
+)
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    manifest = merkle.build(
+        read(spark, sf, "documents"),
+        "doc_id",
+        "lang",
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        {"text": F.when(tampered, lower).otherwise(F.col("text"))},
+    )
+    return merkle.verify(manifest).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
