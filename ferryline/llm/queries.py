@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, language_id, merkle, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
+from ferryline.llm import bpe_table, contamination, hard_negatives, language_id, merkle, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 from ferryline.runtime import shared_folder
 
@@ -206,3 +206,24 @@ def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.verify(manifest).select(
         F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
     )
+
+
+@query(
+    """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND k <= 5
+      AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+)
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf, "embeddings").withColumn("label", noisy), "vec_id", "embedding", "label", "id % 100 = 0")
