@@ -1,219 +1,43 @@
-"""BPE encoding and decoding through a table of distinct words.
-
-1. Tasks cut texts into words at blanks, tabs, line ends and before marks and form blocks of texts. A
-   block has a dictionary of its distinct words. The words belong to ``SHARES`` shares by their hash,
-   and a block's dictionary is shuffled as one packed row for each share.
-2. A share of all dictionaries is one part of the table of distinct words: each word of it is encoded
-   once, and the ids go back to the blocks, again as one packed row for each block and share.
-3. Meanwhile every text is kept as the numbers of its words in its block's dictionary. Ids join the
-   blocks and go to their positions through these numbers.
-4. Ids become pieces through a map-side join with the tokenizer's id-to-piece table, whose size is
-   that of the vocabulary.
-
-Only dictionaries are shuffled there and back, and word numbers once; never each word of a text. A block
-holds about ``BLOCK_BYTES`` of text, or one longer text. It is named by a digest of its keys and dictionary,
-so a lost executor's blocks are found again when their rows are read again; were they other rows,
-the job would stop and not mix up words.
+"""BPE encoding and decoding through a table of distinct words (``chunk_table``).
+
+Words are cut at blanks, tabs, line ends and before closing marks, where the tokenizer cuts as well. Each distinct
+word is encoded once; its ids go back to the words' positions by join. Ids become pieces through a join with the id-to-piece table.
 """
 
 from __future__ import annotations
 
-import hashlib
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ferryline.llm import chunk_table
 from ferryline.llm.token_count import encode_pieces, load_tokenizer, parts, pre_tokens
-from ferryline.llm.words import returning, slices, text_batches
-
-#: Bytes of text in a block, as far as whole texts allow.
-BLOCK_BYTES = 8 << 20
-#: Texts in a block, about; it matters where they are empty or very short.
-BLOCK_ROWS = 100_000
-#: Parts of the word table. More of them make smaller tables and tasks, and more rows for each block.
-SHARES = 1024
-#: Words that a task keeps of the table; beyond it, the table starts anew and words may be encoded again.
-TABLE = 600_000
-
-
-class Ragged:
-    """Lists of different lengths in one array."""
-
-    def __init__(self, counts: np.ndarray, flat: np.ndarray):
-        self.counts, self.flat = counts, flat
-        self.starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else counts
-
-    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The lists at ``places`` one after the other, and their lengths."""
-        n = self.counts[places]
-        before = np.cumsum(n) - n
-        return self.flat[np.arange(int(n.sum())) + np.repeat(self.starts[places] - before, n)], n
-
-
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32, compressed with bytes of the same weight side by side."""
-    import zstandard
-
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
-
-
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
 
-def _dictionary(keys: list[int | None], words: set[str], shares: int) -> tuple[bytes, list[str], np.ndarray]:
-    """A digest of keys and words, the words in order of share and spelling, and their shares."""
-    ordered = sorted(words)
-    share = np.array([zlib.crc32(w.encode()) % shares for w in ordered], np.int64)
-    order = np.argsort(share, kind="stable")
-    ordered = [ordered[n] for n in order.tolist()]
-    name = hashlib.blake2b(str(keys).encode(), digest_size=16)
-    name.update("\n".join(ordered).encode())
-    return name.digest(), ordered, share[order]
 
+def _chunks(path: str, text: str | None) -> list[str]:
+    return pre_tokens(text)
 
-def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Parts of batches, together about as large as a block."""
-    held, size, rows = [], 0, 0
-    for batch in batches:
-        for part, data, _ in slices(batch, "t"):
-            held.append(part)
-            size, rows = size + len(data), rows + len(part)
-            if size >= BLOCK_BYTES or rows >= BLOCK_ROWS:
-                yield held
-                held, size, rows = [], 0, 0
-    if held:
-        yield held
 
+def _parts(path: str, chunk: str) -> tuple[str, ...]:
+    return parts(chunk)
 
-def _keys(block: list[pa.RecordBatch]) -> list[int | None]:
-    return [key for part in block for key in part.column(0).to_pylist()]
 
+def _encode(path: str, words: list[str]) -> list[list[int]]:
+    return encode_pieces(load_tokenizer(path), words)
 
-def _texts(block: list[pa.RecordBatch]) -> Iterator[str | None]:
-    for part in block:
-        yield from part.column(1).to_pylist()
-
-
-def _dictionaries(shares: int):
-    """One row for each block and share with the words of it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        work = zstandard.ZstdCompressor(level=3)
-        for block in _text_blocks(batches):
-            chunks: set[str] = set()
-            for text in _texts(block):
-                chunks.update(pre_tokens(text))
-            chunks.discard("")
-            digest, words, share = _dictionary(_keys(block), {w for chunk in chunks for w in parts(chunk)}, shares)
-            found, starts = np.unique(share, return_index=True)
-            edges = [*starts.tolist(), len(words)]
-            packed = [work.compress("\n".join(words[a:b]).encode()) for a, b in zip(edges, edges[1:])]
-            columns = [pa.array([digest] * len(found), pa.binary()), pa.array(found, pa.int32()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "share", "words"])
-
-    return run
-
-
-def _numbers(shares: int):
-    """One row for each block: its keys, and the number of words and the word numbers of each of its texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _text_blocks(batches):
-            chunks: dict[str, int] = {}
-            places = [np.array([chunks.setdefault(w, len(chunks)) for w in pre_tokens(text) if w], np.int64) for text in _texts(block)]
-            cut = [parts(chunk) for chunk in chunks]
-            keys = _keys(block)
-            digest, words, _ = _dictionary(keys, {w for ws in cut for w in ws}, shares)
-            number = {w: n for n, w in enumerate(words)}
-            numbers = Ragged(np.array([len(ws) for ws in cut], np.int64), np.array([number[w] for ws in cut for w in ws], np.uint32))
-            coded = [numbers.take(p)[0] for p in places]
-            row = [digest, len(words), keys, pack_numbers(np.array([len(c) for c in coded])), pack_numbers(np.concatenate(coded))]
-            types = [pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            names = ["block", "size", "rows", "counts", "numbers"]
-            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types)], names=names)
-
-    return run
-
-
-def encode_words(dictionaries: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Rows of packed words (``block``, ``share``, ``words``) with packed ids for them.
-
-    All rows of a share must be in one partition, so that each distinct word is encoded once.
-    """
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+def _pieces(path: str) -> dict[int, str]:
+    return {n: p for p, n in load_tokenizer(path).get_vocab(with_added_tokens=True).items()}
 
-        tokenizer, work = load_tokenizer(tokenizer_path), zstandard.ZstdDecompressor()
-        table: dict[str, bytes] = {}
-        for batch in batches:
-            ids, counts = [], []
-            for packed in batch.column("words").to_pylist():
-                words = work.decompress(packed).decode().split("\n")
-                fresh = [w for w in words if w not in table]
-                if len(table) + len(fresh) > TABLE:
-                    table, fresh = {}, words
-                table.update(zip(fresh, [np.array(x, "<u4").tobytes() for x in encode_pieces(tokenizer, fresh)]))
-                found = [table[w] for w in words]
-                counts.append(pack_numbers(np.array([len(x) // 4 for x in found])))
-                ids.append(pack_numbers(np.frombuffer(b"".join(found), "<u4")))
-            columns = [batch.column("block"), batch.column("share"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["of", "share", "lengths", "ids"])
 
-    return dictionaries.mapInArrow(returning(encode), "of binary, share int, lengths binary, ids binary")
+def _join(pieces: list[str]) -> str:
+    return " ".join(pieces)
 
 
 def encode_and_decode(docs: DataFrame, key: str, text: str, tokenizer_path: str) -> DataFrame:
     """``key``, ``ids`` (array of the text's token ids) and ``decoded`` (its pieces joined by blanks).
 
     One row for each input row; NULL and empty texts have no ids and decode to an empty text. The key
-    may be NULL or repeated. The tokenizer must drop white space, never join characters across it,
+    may be NULL or repeated; other columns do not matter. The tokenizer must drop white space, never join characters across it,
     and have no decoder of its own, as its library then joins pieces by blanks. ``docs`` is read
-    twice and must give the same rows in the same order in each task, as files do.
+    three times and must give the same rows in the same order in each task, as files do.
     """
-    text_batches(docs)
-    frame = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    words = frame.mapInArrow(returning(_dictionaries(SHARES)), "block binary, share int, words binary")
-    coded = encode_words(words.repartition("share"), tokenizer_path)
-    texts = frame.mapInArrow(returning(_numbers(SHARES)), "block binary, size int, rows array<long>, counts binary, numbers binary")
-    vocab = load_tokenizer(tokenizer_path).get_vocab(with_added_tokens=True)
-    pieces = docs.sparkSession.sparkContext.broadcast([p for _, p in sorted((n, p) for p, n in vocab.items())])
-    place = docs.sparkSession.sparkContext.broadcast(np.array(sorted(vocab.values())))
-
-    def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left):
-            return pa.table([pa.array([], t) for t in types], names=["k", "ids", "decoded"])
-        shares, first = np.unique(right.column("share").to_numpy(), return_index=True)
-        found = right.take(pa.array(first))
-        lengths = [unpack_numbers(x) for x in found.column("lengths").to_pylist()]
-        lists = [unpack_numbers(x) for x in found.column("ids").to_pylist()]
-        none = np.zeros(0, np.uint32)
-        ids = Ragged(np.concatenate([none, *lengths]).astype(np.int64), np.concatenate([none, *lists]))
-        piece, known = pieces.value, place.value
-        keys, coded, decoded = [], [], []
-        for row in left.to_pylist():
-            if row["size"] != len(ids.counts):
-                raise RuntimeError("the documents changed between two readings; write them to a table first")
-            keys += row["rows"]
-            numbers, at = unpack_numbers(row["numbers"]), 0
-            for n in unpack_numbers(row["counts"]).tolist():
-                own = ids.take(numbers[at : at + n])[0].astype(np.int32)
-                coded.append(own)
-                decoded.append(" ".join([piece[p] for p in np.searchsorted(known, own).tolist()]))
-                at += n
-        return pa.table([pa.array(c, t) for c, t in zip((keys, coded, decoded), types)], names=["k", "ids", "decoded"])
-
-    types = [pa.int64(), pa.list_(pa.int32()), pa.string()]
-    joined = texts.groupBy("block").cogroup(coded.groupBy("of"))
-    return joined.applyInArrow(put_back, "k long, ids array<int>, decoded string").withColumnRenamed("k", key)
+    return chunk_table.encode_and_decode(docs, key, text, chunk_table.Coding(tokenizer_path, _chunks, _parts, _encode, _pieces, _join))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import bpe_table, contamination, hard_negatives, language_id, merkle, metric_search, ngram_join, sharding, substring_dedup, token_count, warc_store, wrapper
+from ferryline.llm import bpe_table, contamination, hard_negatives, language_id, merkle, metric_search, ngram_join, piece_table, sharding, substring_dedup, token_count, warc_store, wrapper
 from ferryline.llm.registry import QUERIES, query, read  # noqa: F401
 from ferryline.runtime import shared_folder
 
@@ -17,6 +17,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_file() -> str:
+    """The public SentencePiece model, found where the tokenizers are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query()
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
@@ -35,6 +42,17 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    coded = piece_table.encode_and_decode(read(spark, sf, "documents"), "doc_id", "text", piece_file())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query()
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents").withColumn("held_out", language_id.held_out())

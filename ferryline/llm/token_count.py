@@ -11,6 +11,7 @@ them.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,11 +41,14 @@ def parts(piece: str) -> tuple[str, ...]:
     """A pre-token without the marks at its end, and those marks.
 
     The cut is made only between a letter or digit and a run of ASCII marks, where the tokenizer
-    cuts as well, so the parts have the tokens of the whole. Plain ASCII parts are lower-cased, as
+    cuts as well, so the parts have the tokens of the whole. The letter must still be one when composed and
+    lower-cased: a capital I with dot, or a letter that composition takes apart, ends in a combining mark, which
+    the tokenizer leaves with the marks behind it. Plain ASCII parts are lower-cased, as
     the tokenizer would do. Far fewer different words are left.
     """
     body = piece.rstrip(_MARKS)
-    if not body[-1:].isalnum():
+    last = body[-1:]
+    if not last.isalnum() or not (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalnum()):
         return (piece,)
     if "<" not in body and body.isascii():
         return (body.lower(), piece[len(body) :]) if len(body) < len(piece) else (body.lower(),)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ferryline.llm import (
     bpe_table,
+    chunk_table,
     contamination,
     dom,
     language_id,
@@ -114,7 +115,7 @@ def test_bpe_of_words_without_ids_and_of_equal_blocks(spark):
 
 def test_packed_numbers_come_back():
     for numbers in ([], [0], [1, 255, 256, 65_536, (1 << 32) - 1]):
-        assert bpe_table.unpack_numbers(bpe_table.pack_numbers(bpe_table.np.array(numbers, "u8"))).tolist() == numbers
+        assert chunk_table.unpack_numbers(chunk_table.pack_numbers(chunk_table.np.array(numbers, "u8"))).tolist() == numbers
 
 
 def test_parts_have_the_tokens_of_the_whole():
@@ -126,6 +127,27 @@ def test_parts_have_the_tokens_of_the_whole():
         assert cut == library().encode(piece, add_special_tokens=False).ids, piece
 
 
+def test_words_that_end_in_a_capital_i_with_dot():
+    for text in ("ŞİRKETİ.", "(Sİ)", "TÜRKİYE'Sİ, VE", "\u0958, \ufb1d."):
+        cut = [i for piece in token_count.pre_tokens(text) for part in token_count.parts(piece) for i in token_count.encode_pieces(library(), [part])[0]]
+        assert cut == library().encode(text, add_special_tokens=False).ids, text
+
+
+def test_each_word_of_a_share_is_encoded_once(spark):
+    """Several shares come to one task one after the other, each with its own table."""
+    rows = [(n, " ".join(f"v{(n * 7 + k) % 300}" for k in range(40))) for n in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(path, words):
+        calls.add(len(words))
+        return [[int(w[1:])] for w in words]
+
+    coding = chunk_table.Coding("", lambda p, t: (t or "").split(" "), lambda p, c: (c,), encode, lambda p: {n: f"v{n}" for n in range(300)}, " ".join)
+    got = chunk_table.encode_and_decode(frame, "doc_id", "text", coding).collect()
+    assert {(r.doc_id, r.decoded) for r in got} == set(rows) and calls.value == 300
+
+
 # -- languages ---------------------------------------------------------------------------
 
 
