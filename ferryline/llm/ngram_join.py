@@ -90,10 +90,10 @@ def _signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 if len(some):
                     for t, row in zip(some, band_hashes(values, offsets[some], bands, rows).view(np.int64)):
                         hashes[t] = row
-                arrays = [part.column(0), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["d", "digest", "bands"])
+                arrays = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["d", "th", "digest", "bands"])
 
-    return docs.mapInArrow(returning(run), "d long, digest binary, bands array<long>")
+    return docs.mapInArrow(returning(run), "d long, th long, digest binary, bands array<long>")
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
@@ -145,7 +145,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of cells that have a pair there."""
     for table, cells in _cells(batches):
         keep = np.zeros(len(table), bool)
-        keys, ci, cj, blocks, ids = (table.column(n).to_numpy() for n in ("key", "ci", "cj", "block", "rep"))
+        keys, ci, cj, blocks, ids = (table.column(n).to_numpy() for n in ("key", "ci", "cj", "block", "cls"))
         bands = _matrix(table, 0, len(table))
         for low, high in cells:
             for left, right in own_pairs(keys[low], bands[low:high], ids[low:high], blocks[low:high], ci[low] != cj[low]):
@@ -174,7 +174,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
 def _links(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, cells in _cells(batches):
-            keys, ci, cj, blocks, ids = (table.column(n).to_numpy() for n in ("key", "ci", "cj", "block", "rep"))
+            keys, ci, cj, blocks, ids = (table.column(n).to_numpy() for n in ("key", "ci", "cj", "block", "cls"))
             out: list[tuple[int, int, int]] = []
             for low, high in cells:
                 texts, sets = unpack(table.column("packed").slice(low, high - low).to_pylist()), []
@@ -211,7 +211,7 @@ def _links(threshold: float):
                     best[top(n)] = min(best.get(top(n), int(ids[low + n])), int(ids[low + n]))
                 out += [(int(ids[low + n]), int(count[n]), best[top(n)]) for n in linked]
             columns = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rep", "n", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["cls", "n", "root"])
 
     return run
 
@@ -222,37 +222,42 @@ def near_copies(docs: DataFrame, key: str, text: str, threshold: float = 0.8, re
     ``rep`` is the smallest key with the same set of n-grams, ``class_id`` the smallest key that is
     reached through links, ``n_links`` the number of other sets with a Jaccard similarity of at least
     ``threshold``. Texts without words, NULL ones too, are alone. A NULL key gives NULL classes and no
-    links. Rows that repeat a key are one document with the sets of each of its texts.
+    links. Rows that repeat a key have the figures of their own texts; equal ones have equal figures. Other columns do not matter.
     """
     text_batches(docs)
     bands, rows = choose_bands(threshold, recall)
-    frame = docs.select(F.col(key).cast("long").alias("d"), F.col(text).cast("string").alias("t"))
+    frame = docs.select(F.col(key).cast("long").alias("d"), F.xxhash64(F.col(text).cast("string")).alias("th"), F.col(text).cast("string").alias("t"))
     signed = materialize(_signatures(frame, bands, rows), "signatures")
     ready = signed.where("digest IS NOT NULL AND d IS NOT NULL")
-    reps = materialize(ready.groupBy("digest").agg(F.min(F.struct("d", "bands")).alias("r")).select("digest", F.col("r.d").alias("rep"), "r.bands"), "reps")
-    members = reps.select("rep", F.explode("bands").alias("key"))
+    # One row for each set: a number of its own, and a text that has it, as key and hash.
+    reps = ready.groupBy("digest").agg(F.min(F.struct("d", "th", "bands")).alias("r"))
+    reps = materialize(reps.select(F.monotonically_increasing_id().alias("cls"), "digest", F.col("r.d").alias("rep"), "r.th", "r.bands"), "reps")
+    members = reps.select("cls", F.explode("bands").alias("key"))
     sizes = materialize(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     placed = members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     other = F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
-    placed = placed.join(reps.select("rep", "bands"), "rep").withColumn("other", F.explode(other))
-    placed = placed.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "block", "rep", "bands")
+    placed = placed.join(reps.select("cls", "bands"), "cls").withColumn("other", F.explode(other))
+    placed = placed.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "block", "cls", "bands")
     cell = ["key", "ci", "cj"]
     schema = placed.schema
     paired = materialize(placed.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_members), schema), "cells")
-    needed = paired.select("rep").distinct()
-    texts = pack(frame.where("d IS NOT NULL"), "t", ["d"]).withColumnRenamed("d", "rep")
-    with_text = paired.join(texts.join(materialize(needed, "needed"), "rep", "left_semi"), "rep").select(*cell, "block", "rep", "bands", "packed")
-    links = with_text.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_links(threshold)), "rep long, n long, root long")
+    needed = materialize(reps.select("cls", "rep", "th").join(paired.select("cls").distinct(), "cls", "left_semi"), "needed")
+    texts = pack(frame.where("d IS NOT NULL"), "t", ["d", "th"]).withColumnRenamed("d", "rep").join(needed, ["rep", "th"])
+    texts = texts.groupBy("cls").agg(F.first("packed").alias("packed"))
+    with_text = paired.join(texts, "cls").select(*cell, "block", "cls", "bands", "packed")
+    links = with_text.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_links(threshold)), "cls long, n long, root long")
     links = materialize(links, "links")
-    classes = connected_components(links.select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    counts = links.groupBy("rep").agg(F.sum("n").alias("n_links"))
-    known = reps.select("digest", "rep").join(counts, "rep", "left").join(classes.select(F.col("u").alias("rep"), "m"), "rep", "left")
-    known = materialize(known, "classes")
-    alone = F.col("rep").isNull()
+    parts = connected_components(links.select(F.col("cls").alias("u"), F.col("root").alias("v")))
+    counts = links.groupBy("cls").agg(F.sum("n").alias("n_links"))
+    # Components have the smallest number as their name; classes have the smallest key.
+    named = reps.select("cls", "digest", "rep").join(parts.select(F.col("u").alias("cls"), "m"), "cls", "left").withColumn("m", F.coalesce("m", "cls"))
+    named = materialize(named.join(counts, "cls", "left"), "named")
+    least = named.groupBy("m").agg(F.min("rep").alias("class"))
+    known = materialize(named.join(least, "m").select("digest", "rep", "class", "n_links"), "classes")
     return signed.select("d", F.when(F.col("d").isNotNull(), F.col("digest")).alias("digest")).join(known, "digest", "left").select(
         F.col("d").alias(key),
-        F.when(alone, F.col("d")).otherwise(F.col("rep")).alias("rep"),
-        F.coalesce("m", "rep", "d").alias("class_id"),
+        F.coalesce("rep", "d").alias("rep"),
+        F.coalesce("class", "d").alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )

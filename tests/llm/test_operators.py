@@ -172,6 +172,16 @@ def test_unlabelled_texts_with_letters_pass_the_language_stage(spark, docs):
     bare = docs.withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.known_language(spark, bare, "")
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 7, 8, 9, 10, 11, 12, 13, None} and kept.columns == bare.columns
+    assert {r.lang for r in kept.collect()} == {None}
+
+
+def test_language_stage_fills_missing_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL")
+    hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang"))).withColumn("score", F.lit(1))
+    kept = corpus_pipeline.known_language(spark, hidden, "").withColumnRenamed("lang", "filled").join(docs.select("doc_id", "lang"), "doc_id")
+    right = kept.groupBy(F.col("doc_id") % 5 == 0).agg(F.avg((F.col("lang") == F.col("filled")).cast("double"))).collect()
+    assert dict(right)[False] == 1 and dict(right)[True] > 0.97
+    assert {r.lang for r in corpus_pipeline.known_language(spark, hidden, "", ["de"]).collect()} == {"de"}
 
 
 # -- copies -------------------------------------------------------------------------------
@@ -207,6 +217,36 @@ def test_near_copies(spark, docs, empty):
     assert ngram_join.near_copies(empty, "doc_id", "text").count() == 0
 
 
+def test_rows_that_repeat_a_key(spark):
+    other = " ".join(f"v{n}" for n in range(100))
+    rows = [(1, COPY)] * 3 + [(2, COPY + " two"), (3, COPY + " three"), (1, other), (4, other + " four"), (5, "alone here")]
+    got = Counter(map(tuple, ngram_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()))
+    assert got == Counter([(1, 1, 1, 2)] * 3 + [(2, 2, 1, 2), (3, 3, 1, 2), (1, 1, 1, 1), (4, 4, 1, 1), (5, 5, 5, 0)])
+
+
+def test_recall_on_documents(spark):
+    """Links of all documents next to those of all pairs that share an n-gram."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_copies(docs, "doc_id", "text").collect()}
+    sets = {}
+    for row in docs.select("doc_id", "text").collect():
+        words = alnum(row.text)
+        if words:
+            sets[row.doc_id] = frozenset(zip(*[words[i:] for i in range(5)])) if len(words) >= 5 else frozenset([tuple(words)])
+    first = {}
+    for key in sorted(sets):
+        first.setdefault(sets[key], key)
+    holders = {}
+    for own, key in first.items():
+        for gram in own:
+            holders.setdefault(gram, []).append(key)
+    common = Counter(pair for keys in holders.values() for pair in combinations(sorted(keys), 2))
+    links = Counter(k for pair, n in common.items() for k in pair if n >= 0.8 * (sum(len(sets[k]) for k in pair) - n))
+    wanted = sum(links[first[own]] for own in sets.values())
+    assert wanted and sum(n for _, n in got.values()) >= 0.99 * wanted
+    assert all(got[key][1] <= links[first[own]] for key, own in sets.items())
+
+
 def test_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
     rows = [(n, COPY + f" tail{n}") for n in range(50)]
