@@ -26,11 +26,18 @@ def _as_before(found: DataFrame, docs: DataFrame) -> DataFrame:
     return found.select(*[F.col(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters; texts without any, empty and NULL ones go. Without labels all texts with letters stay."""
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: list[str] | None = None) -> DataFrame:
+    """Documents with letters, with the predicted language where theirs is NULL; texts without letters, empty and NULL ones go.
+
+    ``wanted`` keeps only documents of these languages, stated or predicted. Where no document has a language, none is
+    predicted and all texts with letters stay.
+    """
     languages = language_id.prototypes(docs, "text", "lang")
-    found = language_id.identify(_other_columns(docs), "text", languages, ["doc", "text"], "lettered")
-    return _as_before(found.where("lettered"), docs)
+    found = language_id.identify(_other_columns(docs), "text", languages, ["doc", "text"], "lettered").where("lettered")
+    found = found.withColumn("doc", F.col("doc").withField("lang", F.coalesce("doc.lang", F.nullif("lang_pred", F.lit("und")))))
+    if wanted is not None:
+        found = found.where(F.col("doc.lang").isin(wanted))
+    return _as_before(found, docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +79,7 @@ STAGES = [
     ("bpe", token_ids),
 ]
 
-#: No stage but the fourth has an equal in SQL; tests hold the whole against a brute-force version.
+#: No stage but the fourth has an equal in SQL; tests hold the whole against one written out in plain Python.
 ORACLE_SQL = None
 
 
