@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.checks.registry import ORDERS, check, orders, table
-from ferryline.runtime import shared_folder
+from ferryline.runtime import materialize, shared_folder
 from ferryline.sources.feed_format import LOAD_FORMAT, FeedFormat
 from ferryline.sources.feed_reader import feed_lines, read_feed
 from ferryline.sources.feed_writer import strip_prefix as without_prefix
@@ -35,6 +35,20 @@ def feed_quoted_roundtrip(spark, sf):
     return read_feed(spark, path, data.schema, fmt)
 
 
+@check("SELECT doc_id, replace(text, chr(10), chr(13) || chr(10) || '\"`') AS text, lang, source, n_chars FROM documents")
+def feed_quoted_split(spark, sf):
+    # Two files, each read by many tasks; every line end of a text is one of the feed, with a quote and a delimiter behind it.
+    data, path = _documents(spark, sf), shared_folder(spark, "feed")
+    fmt, setting = FeedFormat(quote=True), "spark.sql.files.maxPartitionBytes"
+    write_feed(data.withColumn("text", F.replace("text", F.lit("\n"), F.lit('\r\n"`'))), path, fmt, files=2)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "256k")
+    try:
+        return materialize(read_feed(spark, path, data.schema, fmt), "split")
+    finally:
+        spark.conf.set(setting, before)
+
+
 @check(
     """SELECT *, CAST(l_quantity AS VARCHAR) AS shown FROM (SELECT l_orderkey, l_partkey, l_suppkey,
   l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate

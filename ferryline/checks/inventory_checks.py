@@ -170,12 +170,25 @@ def move_deletes(spark, sf):
     return inv.move_deletes(plan, plan.where("size % 3 <> 1"))
 
 
-@check()
+_HEAD_FILES = """SELECT o_orderkey AS k, o_orderstatus AS status, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS r,
+  concat_ws('`', o_orderkey, o_custkey, CAST(o_orderdate AS DATE), CAST(o_totalprice AS DECIMAL(18,2))) AS value FROM orders"""
+
+
+@check(
+    f"""WITH o AS ({_HEAD_FILES}),
+h AS (SELECT DISTINCT status, CAST(1 AS INTEGER) AS line_no, 'order_id`customer_id`order_dt`amount' AS value FROM o
+      UNION ALL SELECT status, CAST(r + 1 AS INTEGER), value FROM o WHERE r <= 2)
+SELECT form || '/' || status AS file, line_no, value FROM h, (VALUES ('plain'), ('packed')) f(form)"""
+)
 def file_head(spark, sf):
+    # One file for each status, plain and packed, in the order of its keys.
     path = shared_folder(spark, "feed")
-    write_feed(orders(spark, sf), f"{path}/plain", files=4, order_by=["order_id"])
-    write_feed(orders(spark, sf), f"{path}/packed", gzip=True, files=4, order_by=["order_id"])
-    return inv.file_head(spark, path, 3, "\r\n").withColumn("file", F.substring_index("file", "/", -2))
+    for status in ("F", "O", "P"):
+        own = orders(spark, sf).where(F.col("status") == status).drop("status")
+        write_feed(own, f"{path}/plain/{status}", files=1, order_by=["order_id"])
+        write_feed(own, f"{path}/packed/{status}", gzip=True, files=1, order_by=["order_id"])
+    heads = inv.file_head(spark, path, 3, "\r\n")
+    return heads.withColumn("file", F.array_join(F.slice(F.split("file", "/"), -3, 2), "/"))
 
 
 @check("SELECT CAST(1 AS INTEGER) AS line_no, 'order_id`customer_id`order_dt`amount`status' AS value")

@@ -17,12 +17,17 @@ from pyspark.sql import types as T
 
 from ferryline.functions.text import directory_prefix, human_bytes
 from ferryline.operators.numbering import number_rows
-from ferryline.runtime import data_files, materialize, remove
+from ferryline.runtime import data_files, materialize, remove, session_settings, shared_folder
+from ferryline.sources.feed_writer import row_in_partition
 
 # Fixed value: keys per delete request.
 DELETE_BATCH = 1000
 # Fixed value: the folder name of a NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Files whose heads one job reads.
+HEAD_FILES = 200
+# No file is cut, and a union keeps its parts apart.
+_FILE_IS_TASK = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.unionOutputPartitioning": "false"}
 # Fixed value: keys shown before a delete.
 PREVIEW_KEYS = 10
 
@@ -245,29 +250,27 @@ def move_deletes(plan: DataFrame, copied: DataFrame) -> DataFrame:
 
 
 def file_head(spark: SparkSession, path: str, lines: int, line_sep: str | None = None) -> DataFrame:
-    """The first lines of every file below a path; ``.gz`` is unpacked.
+    """The first lines of every file below a path; ``.gz`` is unpacked. A file without lines has no row.
 
-    A line's place is (start of its block, place in the block). The rank keeps at
-    most ``lines`` candidates per file in each task before anything is shuffled,
-    and stays right when the wanted lines reach over several blocks.
+    Every file is a task of its own under a limit of its own, so the task stops after the first lines and what is read of a
+    file does not depend on its size. A limit for each file makes a plan grow with the files; so ``HEAD_FILES``
+    files are one job, and jobs follow one another when this is called.
     """
     if lines < 1:
         raise ValueError("lines is at least 1")
     reader = spark.read.schema("value string").option("recursiveFileLookup", "true")
     if line_sep:
         reader = reader.option("lineSep", line_sep)
-    placed = reader.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        "value",
-    )
-    order = Window.partitionBy("file").orderBy("block", "place")
-    return (
-        placed.withColumn("line_no", F.row_number().over(order))
-        .where(F.col("line_no") <= lines)
-        .select("file", "line_no", "value")
-    )
+    names = sorted(reader.text(path).inputFiles())
+    schema = "file string, line_no int, value string"
+    target = shared_folder(spark, "heads")
+    spark.createDataFrame([], schema).write.parquet(target)
+    for start in range(0, len(names), HEAD_FILES):
+        one = [F.col("_metadata.file_path").alias("file"), (row_in_partition() + 1).cast("int").alias("line_no"), "value"]
+        heads = [reader.text(name).select(*one).limit(lines) for name in names[start : start + HEAD_FILES]]
+        with session_settings(spark, _FILE_IS_TASK):
+            reduce(DataFrame.union, heads).write.mode("append").parquet(target)
+    return spark.read.schema(schema).parquet(target)
 
 
 def run_readiness(expected: DataFrame, inventory: DataFrame, denied: DataFrame | None = None) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import threading
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,13 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
-from ferryline.runtime import remove, shared_folder
+from ferryline.runtime import SETTINGS, remove, session_settings, shared_folder
 from ferryline.sources.feed_reader import REJECT_LINE, REJECT_REASON
 
 MODES = ("append", "replace_partition")
 
-# Some writes take a setting from the session only, which all threads share.
-_SETTING = threading.Lock()
 
 
 class RejectLimitExceeded(Exception):
@@ -92,18 +88,6 @@ def _partition_text(folder: str, name: str, df: DataFrame) -> bool:
     return any(f"/{name}=" in n for n in names)
 
 
-@contextmanager
-def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A setting for one write. Writes that need one take turns, so none sees another's setting."""
-    with _SETTING:
-        before = spark.conf.get(name)
-        spark.conf.set(name, value)
-        try:
-            yield
-        finally:
-            spark.conf.set(name, before)
-
-
 def write_counted(
     df: DataFrame, target: str, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> int:
@@ -128,13 +112,13 @@ def write_counted(
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite" if replace else "append").parquet(target)
     elif not replace:
-        with _SETTING:  # or a replacement's setting would be in force
+        with SETTINGS:  # or a replacement's setting would be in force
             writer.insertInto(target)
     elif not spread_by:
         raise ValueError(f"replace_partition needs a partitioned table, {target} is not")
     else:
         # An insert into a table takes the overwrite mode from the session only.
-        with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        with session_settings(df.sparkSession, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             writer.insertInto(target, overwrite=True)
     return counted.get.get("rows", 0)
 
@@ -185,7 +169,7 @@ def load(
         counted, F.count_if(~F.col("__rejected")).alias("good"), F.count_if("__rejected").alias("bad")
     )
     # Two open files per task, one for each folder, save a sort of all rows.
-    with _session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+    with session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
         watched.write.partitionBy("__rejected").parquet(staged_path)
     good, bad = counted.get.get("good", 0), counted.get.get("bad", 0)
     staged = spark.read.schema(staged_frame.schema).parquet(staged_path)

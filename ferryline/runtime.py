@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +53,24 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Some jobs take a setting from the session only, which all threads share.
+SETTINGS = threading.RLock()
+
+
+@contextmanager
+def session_settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings for one job. Jobs that need some take turns, so none sees another's settings."""
+    with SETTINGS:
+        before = {name: spark.conf.get(name) for name in values}
+        try:
+            for name, value in values.items():
+                spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in before.items():
+                spark.conf.set(name, value)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A new database whose managed tables lie in the shared folder."""
     name = f"ferryline_{uuid.uuid4().hex[:12]}"
@@ -83,6 +104,13 @@ def folders_with(spark: SparkSession, parent: str, name: str) -> list[str]:
     return sorted(f.getPath().getParent().getName() for f in found or [])
 
 
+def data_file_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths, in order, of the files directly in ``folder`` whose names match a glob pattern."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder, pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def depth(spark: SparkSession, path: str) -> int:
     """Number of folder names in a path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

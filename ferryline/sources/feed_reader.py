@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.cells import quoted
 from ferryline.sources.feed_format import BYTE_ORDER_MARK, FeedFormat
+from ferryline.sources.quoted_records import QUOTE, quoted_records
 
 REJECT_REASON = "reject_reason"
 REJECT_LINE = "reject_line"
@@ -181,27 +184,32 @@ def _header_is_distinct(schema: T.StructType, fmt: FeedFormat) -> bool:
 def drop_headers(lines: DataFrame, schema: T.StructType, fmt: FeedFormat) -> DataFrame:
     """Remove the one header line of every file.
 
-    A file may be split over tasks, so "first line of the task" does not find it;
-    its text does. If records of only text could equal the header, each file keeps
-    all copies of that line but one.
+    As a rule its text finds it: no record spells the same. If records of only text could do so, the header is found by its
+    place, the first line of the part of a file that starts at byte 0, in the pass that reads it, streaming or not.
     """
     header = fmt.header_line(schema.names)
     # The line reader strips a byte order mark at the start of a file.
-    is_header = F.col("value").isin(header, BYTE_ORDER_MARK + header)
-    data = lines.where(~is_header).select("value")
     if _header_is_distinct(schema, fmt):
-        return data
-    if lines.isStreaming:
-        raise ValueError("a header needs a number or date column to be told from the data")
-    copies = (
-        lines.where(is_header)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select(F.explode(F.sequence(F.lit(2), F.col("n"))))
-        .select(F.lit(header).alias("value"))
+        return lines.where(~F.col("value").isin(header, BYTE_ORDER_MARK + header)).select("value")
+    placed = lines.select(
+        (F.col("_metadata.file_block_start") == 0).alias("leads"), F.col("_metadata.file_path").alias("file"), "value"
     )
-    return data.unionByName(copies)
+    return placed.mapInArrow(_without_first_lines, "value string")
+
+
+def _without_first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of files read one after the other, without the first line of each part that leads its file."""
+    before = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        leads, files = batch.column("leads"), batch.column("file")
+        same = pc.equal(files.slice(1), files.slice(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
+        same &= leads.slice(1).to_numpy(zero_copy_only=False) == leads.slice(0, len(batch) - 1).to_numpy(zero_copy_only=False)
+        fresh = [(files[0].as_py(), leads[0].as_py()) != before, *~same]
+        before = (files[-1].as_py(), leads[-1].as_py())
+        kept = pc.invert(pc.and_(leads, pa.array(fresh, pa.bool_())))
+        yield batch.select(["value"]).filter(kept)
 
 
 def feed_lines(spark: SparkSession, path: str, fmt: FeedFormat, recursive: bool = True) -> DataFrame:
@@ -246,35 +254,31 @@ def read_feed(
 def _read_quoted(
     spark: SparkSession, path: str, schema: T.StructType, fmt: FeedFormat, recursive: bool, on_error: str
 ) -> DataFrame:
-    # The CSV reader turns every unquoted empty field into NULL, so its own NULL
-    # value stays at "empty" and the marker is tested here.
-    texts = [f"f{i}" for i in range(len(schema))]
-    raw_schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in texts] + [T.StructField(_LINE, T.StringType())]
-    )
-    frame = (
-        spark.read.schema(raw_schema)
-        .option("sep", fmt.delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", "true")
-        # Declared, as a detected line end would also replace those inside values.
-        .option("lineSep", fmt.line_sep)
-        .option("header", str(fmt.header).lower())
-        .option("enforceSchema", "true")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _LINE)
-        .option("maxCharsPerColumn", "-1")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .csv(path)
+    lines = feed_lines(spark, path, fmt, recursive).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
     )
-    # A record of valid shape has no raw line; its fields stand in for one.
-    fields = [F.coalesce(F.col(name), F.lit("")) for name in texts]
-    line = F.coalesce(F.col(_LINE), F.concat_ws(fmt.delimiter, *fields))
-    given = F.transform(F.array(*fields), lambda raw: F.when(raw != fmt.null_marker, raw))
-    records = frame.select(
-        line.alias(_LINE), given.alias(_FIELDS), F.col(_LINE).isNotNull().alias("__broken")
+    raw = quoted_records(lines, fmt.line_sep, fmt.header).select(
+        F.col("value").alias(_LINE), _quoted_fields(F.col("value"), fmt).alias("__raw")
     )
+    # Without a quote all is split at delimiters. Otherwise what the pattern does not cover is malformed.
+    covered = F.aggregate("__raw", F.lit(-1), lambda n, field: n + F.length(field) + 1)
+    given = F.transform("__raw", lambda field: _unquoted(field, fmt))
+    records = raw.select(_LINE, given.alias(_FIELDS), ((F.size("__raw") != len(schema)) | (covered != F.length(_LINE))).alias("__broken"))
     return _typed(records, schema, F.col("__broken"), on_error)
+
+
+def _quoted_fields(line: Column, fmt: FeedFormat) -> Column:
+    """Fields of a record as they stand there. The possessive pattern does not backtrack, so fields may have any length."""
+    delimiter = re.escape(fmt.delimiter)
+    pattern = f'{delimiter}("(?:[^"]++|"")*+"|[^{delimiter}"]*+)(?={delimiter}|\\z)'
+    careful = F.regexp_extract_all(F.concat(F.lit(fmt.delimiter), line), F.lit(pattern), F.lit(1))
+    return F.when(line.contains(QUOTE), careful).otherwise(F.split(line, delimiter, -1))
+
+
+def _unquoted(field: Column, fmt: FeedFormat) -> Column:
+    inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit(QUOTE * 2), F.lit(QUOTE))
+    text = F.when(field.startswith(QUOTE), inner).otherwise(field)
+    return F.when(text != fmt.null_marker, text)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.cells import feed_text, quoted
+from ferryline.runtime import data_file_names, remove
 from ferryline.sources.feed_format import BYTE_ORDER_MARK, FeedFormat
 
 # monotonically_increasing_id counts from 0 in the low 33 bits of every partition.
@@ -145,4 +146,13 @@ def write_feed(
     if rows == 0 and fmt.header:
         only_header = first_line.removesuffix(fmt.line_sep)
         save(df.sparkSession.createDataFrame([(only_header,)], "value string"), "append")
+    elif first_line:
+        _remove_file_without_lines(df.sparkSession, path)
     return rows
+
+
+def _remove_file_without_lines(spark: SparkSession, path: str) -> None:
+    """Spark writes a file for the first task of a write even if it has no rows; such a file would have no header."""
+    for name in data_file_names(spark, path, "part-00000-*"):
+        if spark.read.text(name).isEmpty():
+            remove(spark, name)

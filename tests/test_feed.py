@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.cells import feed_text
+from ferryline.sources import feed_reader
 from ferryline.sources.feed_format import LOAD_FORMAT, FeedFormat
 from ferryline.sources.feed_reader import REJECT_LINE, REJECT_REASON, read_feed
 from ferryline.sources.feed_writer import strip_prefix, write_feed
+from ferryline.sources.quoted_records import block_states
+from ferryline.streaming.ingest import ingest_stream
 
 SCHEMA = "order_id bigint, name string, amount string, order_dt date"
 ROWS = [
@@ -207,6 +210,22 @@ def test_header_equal_to_data(spark, folder):
     schema = T.StructType.fromDDL("a string, b string")
     write_feed(spark.createDataFrame(rows, schema), folder, files=5)
     assert sorted(map(tuple, read_feed(spark, folder, schema).collect())) == sorted(rows)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    for size in ("16", "10m"):  # parts of a file, and several files in a task
+        spark.conf.set(setting, size)
+        try:
+            assert sorted(map(tuple, read_feed(spark, folder, schema).collect())) == sorted(rows)
+        finally:
+            spark.conf.set(setting, before)
+
+
+def test_header_equal_to_data_in_a_stream(spark, folder):
+    rows = [("a", "b")] * 40 + [("x", "y")] * 7
+    schema = T.StructType.fromDDL("a string, b string")
+    write_feed(spark.createDataFrame(rows, schema), f"{folder}/in", files=5)
+    ingest_stream(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/state", FeedFormat()).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(f"{folder}/out").collect())) == sorted(rows)
 
 
 @pytest.mark.parametrize(
@@ -284,6 +303,55 @@ def test_quoted_feed_flags_bad_records(spark, folder):
     assert sorted(r[REJECT_REASON] for r in rows if r[REJECT_REASON]) == ["id: not a bigint", "not 3 fields"]
 
 
+@pytest.mark.parametrize("size", [40, 300, 5000])
+@pytest.mark.parametrize("header", [True, False])
+def test_quoted_files_are_read_in_parts(spark, folder, size, header):
+    """Records over many blocks, blocks without a record's start, quotes and delimiters at line ends."""
+    rng = random.Random(size)
+    pieces = ["a", '"', "`", "\r\n", "\n", "\r", "é", "word " * 20, '\r\n"', '"\r\n', ""]
+    rows = [(n, rng.choice([None, "".join(rng.choices(pieces, k=rng.randint(0, 30)))]), "x") for n in range(400)]
+    schema = T.StructType.fromDDL("id bigint, text string, plain string")
+    fmt = FeedFormat(quote=True, null_marker="\\N", header=header)
+    write_feed(spark.createDataFrame(rows, schema), folder, fmt, files=3)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(size))
+    try:
+        back = read_feed(spark, folder, schema, fmt)
+        assert sorted(map(tuple, back.collect())) == rows
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_records_without_open_quotes_are_not_shuffled(spark, folder):
+    df = spark.range(2000).select("id", F.lit('say "hi"').alias("v"))
+    fmt = FeedFormat(quote=True)
+    write_feed(df, folder, fmt, files=2)
+    lines = feed_reader.feed_lines(spark, folder, fmt).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.lit(0).alias("place"), "value"
+    )
+    assert {(r.odd, r.inside) for r in block_states(lines).collect()} == {(0, 0)}
+    assert read_feed(spark, folder, df.schema, fmt).exceptAll(df).isEmpty()
+
+
+def test_a_quote_that_is_not_closed(spark, folder):
+    text = '1`a`2.5\r\n2`"open`2.5\r\n3`c`4\r\n'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(folder)
+    rows = read_feed(spark, folder, BAD_SCHEMA, FeedFormat(quote=True, header=False), on_error="flag").collect()
+    assert [r["id"] for r in rows if not r[REJECT_REASON]] == [1] and len(rows) == 2
+
+
+def test_every_file_has_its_header_though_the_first_task_is_empty(spark, folder):
+    for gzip_it in (False, True):
+        path = f"{folder}/{gzip_it}"
+        df = spark.range(0, 4000, 1, 4).where("id >= 1000").select("id", F.lit("v").alias("text"))
+        assert write_feed(df, path, FeedFormat(), gzip=gzip_it) == 3000
+        names = files(path)
+        assert len(names) == 3
+        for name in names:
+            assert (gzip.open if gzip_it else open)(name, "rb").read().startswith(b"id`text\r\n")
+
+
 def test_partitioned_export_splits_a_hot_value(spark, folder):
     # Nine of ten rows share one value; it is written by several tasks, and all come back.
     df = spark.range(200_000, numPartitions=16).select(
