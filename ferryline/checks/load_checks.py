@@ -12,7 +12,7 @@ from ferryline.runtime import materialize, remove, scratch_database, shared_fold
 from ferryline.sources.feed_format import LOAD_FORMAT
 from ferryline.sources.feed_reader import read_feed
 from ferryline.sources.feed_writer import write_feed
-from ferryline.streaming.ingest import ingest_ready, ingest_stream
+from ferryline.streaming.ingest import ingest_ready, ingest_stream, ingest_table
 
 PER_STATUS = f"""SELECT status, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount
 FROM {ORDERS} GROUP BY status"""
@@ -242,3 +242,22 @@ def redistribute(spark, sf):
     distribution.write_distributed(orders(spark, sf), f"{database}.orders", 8)
     distribution.redistribute(spark, f"{database}.orders", 16, ["customer_id"])
     return _per_status(spark.table(f"{database}.orders"))
+
+
+@check(PER_STATUS)
+def stream_into_table(spark, sf):
+    # Two runs, the second finished after the first call; rows of a load stand beside the batches.
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA)
+    target = f"{scratch_database(spark)}.orders"
+    spark.sql(f"CREATE TABLE {target} ({columns}, batch STRING) USING parquet PARTITIONED BY (batch)")
+    source, state = shared_folder(spark, "in"), shared_folder(spark, "state")
+    data = orders(spark, sf)
+    for status in ("F", "O"):
+        write_feed(data.where(F.col("status") == status), f"{source}/run-{status}", LOAD_FORMAT, gzip=True, files=3)
+    remove(spark, f"{source}/run-O/_SUCCESS")
+    take = lambda: ingest_table(spark, source, ORDERS_SCHEMA, target, state, marker="_SUCCESS", reject_limit=0, max_files_per_batch=4)
+    take()
+    load(data.where("status = 'P'").withColumn("batch", F.lit("by hand")), target)
+    spark.createDataFrame([], "value string").write.mode("append").text(f"{source}/run-O")
+    take()
+    return _per_status(spark.table(target))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
-from ferryline.runtime import SETTINGS, remove, session_settings, shared_folder
+from ferryline.operators.publish import Place, place_of, publish, stage
+from ferryline.runtime import SETTINGS, materialize, remove, session_settings, shared_folder
 from ferryline.sources.feed_reader import REJECT_LINE, REJECT_REASON
 
 MODES = ("append", "replace_partition")
@@ -88,6 +90,14 @@ def _partition_text(folder: str, name: str, df: DataFrame) -> bool:
     return any(f"/{name}=" in n for n in names)
 
 
+def _observed(counted: Observation) -> dict[str, int]:
+    """The observed counts; none where adaptive execution found nothing to write and dropped the plan with its observation."""
+    try:
+        return counted.get
+    except Py4JError:
+        return {}
+
+
 def write_counted(
     df: DataFrame, target: str, mode: str = "append", partition_by: Sequence[str] = ()
 ) -> int:
@@ -96,7 +106,16 @@ def write_counted(
         raise ValueError(f"mode is one of {', '.join(MODES)}")
     if mode == "replace_partition" and _is_path(target) and not partition_by:
         raise ValueError("replace_partition needs partition_by")
-    spread_by = list(partition_by)
+    spark, spread_by = df.sparkSession, list(partition_by)
+    replace = mode == "replace_partition"
+    place = place_of(spark, target, tuple(partition_by)) if replace else None
+    if place and not place.columns:
+        raise ValueError(f"replace_partition needs a partitioned table, {target} is not")
+    if place:
+        counted = Observation()
+        staged = stage(df.observe(counted, F.count(F.lit(1)).alias("rows")), place)
+        _publish(spark, place, staged, True)
+        return _observed(counted).get("rows", 0)
     if not _is_path(target):
         spread_by = [c.name for c in df.sparkSession.catalog.listColumns(target) if c.isPartition]
     if spread_by:
@@ -104,13 +123,10 @@ def write_counted(
         df = df.hint("rebalance", *spread_by)
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
-    replace = mode == "replace_partition"
     if _is_path(target):
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        if replace:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.mode("overwrite" if replace else "append").parquet(target)
+        writer.mode("append").parquet(target)
     elif not replace:
         with SETTINGS:  # or a replacement's setting would be in force
             writer.insertInto(target)
@@ -120,7 +136,15 @@ def write_counted(
         # An insert into a table takes the overwrite mode from the session only.
         with session_settings(df.sparkSession, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             writer.insertInto(target, overwrite=True)
-    return counted.get.get("rows", 0)
+    return _observed(counted).get("rows", 0)
+
+
+def _publish(spark: SparkSession, place: Place, staged: str, replace: bool) -> None:
+    try:
+        publish(spark, place, staged, replace)
+    except Exception:
+        remove(spark, staged)
+        raise
 
 
 def load(
@@ -139,9 +163,10 @@ def load(
     good, none does. ``mode="replace_partition"`` replaces exactly the partitions
     the feed touches.
 
-    With ``reject_limit`` the feed comes from ``read_feed(..., on_error="flag")``. It
-    is parsed once into a staged copy, good and malformed records apart, counted on
-    the way. Above the limit the load stops before anything is published.
+    With ``reject_limit`` the feed comes from ``read_feed(..., on_error="flag")``. Its good
+    records are written once, beside the target and in its layout, and all are counted on the way. Above the limit the load
+    stops before anything is published; otherwise the files are moved into place. Only a feed with malformed
+    records is read once more, for their report.
 
     ``dry_run`` does all the work except publishing. On a feed read with
     ``on_error="fail"`` a bad record fails the dry run too.
@@ -161,28 +186,40 @@ def load(
 
     if REJECT_REASON not in feed.columns:
         raise ValueError("reject_limit needs a feed read with on_error='flag'")
-    good_columns = [c for c in feed.columns if c not in (REJECT_REASON, REJECT_LINE)]
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    replace = mode == "replace_partition"
+    if replace and _is_path(target) and not partition_by:
+        raise ValueError("replace_partition needs partition_by")
+    is_bad = F.col(REJECT_REASON).isNotNull()
     counted = Observation()
-    staged_path = shared_folder(spark, "staged-load")
-    staged_frame = feed.withColumn("__rejected", F.col(REJECT_REASON).isNotNull())
-    watched = staged_frame.observe(
-        counted, F.count_if(~F.col("__rejected")).alias("good"), F.count_if("__rejected").alias("bad")
-    )
-    # Two open files per task, one for each folder, save a sort of all rows.
-    with session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
-        watched.write.partitionBy("__rejected").parquet(staged_path)
-    good, bad = counted.get.get("good", 0), counted.get.get("bad", 0)
-    staged = spark.read.schema(staged_frame.schema).parquet(staged_path)
-    errors = staged.where("__rejected").select(REJECT_REASON, REJECT_LINE)
-    # The malformed records stay, as the result shows them; the good ones go when they are published.
+    watched = feed.observe(counted, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad"))
+    good_columns = [c for c in feed.columns if c not in (REJECT_REASON, REJECT_LINE)]
+    rows = _aligned(watched.where(~is_bad).select(*[quoted(c) for c in good_columns]), target, columns)
+    place = place_of(spark, target, tuple(partition_by))
+    if replace and place and not place.columns:
+        raise ValueError(f"replace_partition needs a partitioned table, {target} is not")
+    # A table that only an insert can write gets its rows from a copy in the work folder.
+    staged = stage(rows, place or Place(shared_folder(spark, "staged-load"), (), "parquet", None))
     try:
+        got = _observed(counted)
+        if "bad" not in got:
+            got = feed.agg(F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad")).first().asDict()
+        good, bad = got["good"], got["bad"]
+        errors = feed.where(is_bad).select(REJECT_REASON, REJECT_LINE)
+        errors = materialize(errors if bad else errors.limit(0), "rejected")
         if bad > reject_limit:
-            raise RejectLimitExceeded(f"{bad} malformed records, {reject_limit} allowed; see {staged_path}")
-        rows = _aligned(staged.where("NOT __rejected").select(*[quoted(c) for c in good_columns]), target, columns)
-        if not dry_run:
-            write_counted(rows, target, mode, partition_by)
-    finally:
-        remove(spark, f"{staged_path}/__rejected=false")
+            raise RejectLimitExceeded(f"{bad} malformed records, {reject_limit} allowed; see {errors.inputFiles()[0].rpartition('/')[0]}")
+        if dry_run:
+            remove(spark, staged)
+        elif place:
+            publish(spark, place, staged, replace)
+        else:
+            write_counted(spark.read.schema(rows.schema).parquet(staged), target, mode, partition_by)
+            remove(spark, staged)
+    except Exception:
+        remove(spark, staged)
+        raise
     return LoadResult(target, mode, good, bad, not dry_run, errors)
 
 
