@@ -34,6 +34,8 @@ from ferryline.runtime import materialize
 NGRAM = 5
 #: Classes of a bucket in one block.
 BLOCK = 512
+#: Sets whose keys may be broadcast, at 24 bytes each.
+FEW = 1_000_000
 #: Rows of pairs compared at a time.
 _STRIPE = 64
 
@@ -243,7 +245,9 @@ def near_copies(docs: DataFrame, key: str, text: str, threshold: float = 0.8, re
     schema = placed.schema
     paired = materialize(placed.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_members), schema), "cells")
     needed = materialize(reps.select("cls", "rep", "th").join(paired.select("cls").distinct(), "cls", "left_semi"), "needed")
-    texts = pack(frame.where("d IS NOT NULL"), "t", ["d", "th"]).withColumnRenamed("d", "rep").join(needed, ["rep", "th"])
+    # Few needed texts are picked where they are read; only then are no other texts shuffled.
+    picked = F.broadcast(needed) if needed.count() <= FEW else needed
+    texts = pack(frame.where("d IS NOT NULL"), "t", ["d", "th"]).withColumnRenamed("d", "rep").join(picked, ["rep", "th"])
     texts = texts.groupBy("cls").agg(F.first("packed").alias("packed"))
     with_text = paired.join(texts, "cls").select(*cell, "block", "cls", "bands", "packed")
     links = with_text.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(returning(_links(threshold)), "cls long, n long, root long")
