@@ -79,7 +79,7 @@ STAGES = [
     ("bpe", token_ids),
 ]
 
-#: No stage but the fourth has an equal in SQL; tests hold the whole against one written out in plain Python.
+#: No stage but the fourth has an equal in SQL; tests hold the operators against brute force, and the stages against sets of ids.
 ORACLE_SQL = None
 
 
