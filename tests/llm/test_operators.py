@@ -508,3 +508,38 @@ def test_pipeline_stages(spark, docs):
     whole = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
     assert whole.keys() == left["bpe"].keys()
     assert list(whole[7].ids) == library().encode(dict(TEXTS)[7], add_special_tokens=False).ids
+
+
+# -- deep and wide pages ------------------------------------------------------------
+
+
+def test_deep_pages_do_not_stop_a_host(spark):
+    deep = "<div>" * 5000 + "own {}" + "</div>" * 5000
+    rows = [(1, "http://a/1", deep.format(1)), (2, "http://a/2", deep.format(2)), (3, "http://a/3", "<b>" * 5000 + "left open")]
+    rows += [(n, f"http://a/{n}", f"<h6>same line</h6><p>text {n}</p>") for n in range(4, 12)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    texts = {r.page_id: r.text for r in wrapper.extract(pages, "url", "html", ["page_id"]).collect()}
+    assert texts == {1: "own 1", 2: "own 2", 3: "left open", **{n: f"text {n}" for n in range(4, 12)}}
+
+
+def test_long_lists_are_matched_in_bounded_work():
+    rows = "".join(f"<p>{n}</p><ul><li>{n}</li></ul>" for n in range(5000))
+    other = "".join(f"<c{n % 877}>{n}</c{n % 877}>" for n in range(10_000))
+    a, b, c = (wrapper.page_slots(html)[1] for html in (rows, "<h1>more</h1>" + rows, other))
+    assert len(wrapper.Matching(a, b).partners(a, b)) == 10_000
+    assert wrapper.Matching(a, c).partners(a, c) == []
+
+
+def test_long_and_short_lists_are_matched_alike():
+    for seed in range(200):
+        draw = random.Random(seed)
+        n, m = draw.randint(0, 8), draw.randint(0, 8)
+        weight = {(i, j): draw.randint(1, 4) for i in range(n) for j in range(m) if draw.random() < 0.4}
+        whole, few = wrapper.heaviest(n, m, weight), wrapper.heaviest_of_few(m, weight)
+        assert sum(weight[p] for p in whole) == sum(weight[p] for p in few)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(few, few[1:]))
+
+
+def test_formulas_and_labels_outside_forms_are_text():
+    html = "<article><p>x <math>E=mc</math> y</p><form><label>name</label></form><p><label>figure</label> one</p></article>"
+    assert wrapper.main_text(html, None) == "x E=mc y\n\nfigure one"
