@@ -124,3 +124,12 @@ def data_files(spark: SparkSession, folder: str) -> int:
     if not system.exists(target):
         return 0
     return sum(1 for f in system.listStatus(target) if not f.getPath().getName().startswith(("_", ".")))
+
+
+def folder_state(spark: SparkSession, folder: str) -> str:
+    """Number, bytes and latest change of the files directly in a folder, hidden ones apart; changes when its data do."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = system.listStatus(target) if system.exists(target) else []
+    files = [f for f in listed if not f.getPath().getName().startswith(("_", "."))]
+    return f"{len(files)} {sum(f.getLen() for f in files)} {max((f.getModificationTime() for f in files), default=0)}"
