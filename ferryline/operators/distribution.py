@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
+from ferryline.operators.publish import partition_location, partition_spec
 
 #: A key with more rows than this on one side is joined in cells; one task handles so many rows easily.
 HEAVY_ROWS = 1_000_000
@@ -24,12 +25,13 @@ def write_distributed(
     *,
     provider: str | None = None,
     partition_by: Sequence[str] = (),
+    path: str | None = None,
 ) -> None:
     """Save a table hashed into ``buckets`` by ``keys``, or evenly at random without keys.
 
     Rows are first brought together by key, so a task writes few buckets instead of
     all of them. The rebalance splits a key range that grew too large over several
-    tasks; a bucket then simply has more than one file.
+    tasks; a bucket then simply has more than one file. With a ``path`` the table is external.
     """
     spread = df.hint("rebalance", buckets, *partition_by, *keys) if keys else df.repartition(buckets)
     writer = spread.write
@@ -39,39 +41,81 @@ def write_distributed(
         writer = writer.partitionBy(*partition_by)
     if keys:
         writer = writer.bucketBy(buckets, *keys)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 
 def redistribute(
-    spark: SparkSession, table: str, buckets: int, keys: Sequence[str] | None = None
+    spark: SparkSession,
+    table: str,
+    buckets: int,
+    keys: Sequence[str] | None = None,
+    location: str | None = None,
 ) -> None:
-    """Change the distribution of an existing table; its rows, format and properties stay.
+    """Change the distribution of an existing table; its rows, partitions, format and properties stay.
 
     The new table is complete before the old one steps aside, and the old one is dropped
-    last. If the new name cannot be taken, the old table gets its name back. Refused are
-    external tables, whose files are not the catalog's, and partitioned ones, as not every
-    catalog moves partitions along with a name: write those to a new name with ``partition_by``.
+    last. If the new name cannot be taken, the old table gets its name back. Partitions without rows
+    are registered again, and those of a renamed table are pointed to where its files went, as not
+    every catalog moves them along. Rows of partitions that lie elsewhere come into the table's own folder.
+
+    The files of an external table are not the catalog's: its rows go to the new folder ``location``, the
+    table points there from then on, and the old files stay where they are.
     """
     details = _table_details(spark, table)
-    if details.get("Type") == "EXTERNAL":
-        raise ValueError(f"{table} is an external table; write its rows to a new one")
-    if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        raise ValueError(f"{table} is partitioned; write its rows to a new table with partition_by")
+    external = details.get("Type") == "EXTERNAL"
+    if external and not location:
+        raise ValueError(f"{table} is an external table; name a new folder for its rows")
+    if location and not external:
+        raise ValueError(f"{table} is not external; its catalog chooses the folder")
+    if external and location.rstrip("/") == details["Location"].rstrip("/"):
+        raise ValueError("the new folder is the table's present one")
+    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if clash := set(partition_by) & set(keys or ()):
+        raise ValueError(f"a table is not distributed by its partition columns: {', '.join(sorted(clash))}")
     database, _, name = table.rpartition(".")
     run = uuid.uuid4().hex[:8]
     new, old = (f"{database}.{n}" if database else n for n in (f"{name}__new_{run}", f"{name}__old_{run}"))
-    write_distributed(spark.table(table), new, buckets, keys, provider=details.get("Provider"))
+    provider = details.get("Provider")
+    write_distributed(spark.table(table), new, buckets, keys, provider=provider, partition_by=partition_by, path=location)
+    if partition_by:
+        filled = {r[0] for r in spark.sql(f"SHOW PARTITIONS {new}").collect()}
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            if row[0] not in filled:
+                spark.sql(f"ALTER TABLE {new} ADD IF NOT EXISTS {partition_spec(row[0])}")
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     if properties:
         pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({pairs})")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    _rename(spark, table, old, partition_by)
     try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        _rename(spark, new, table, partition_by)
     except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        _rename(spark, old, table, partition_by)
         raise
     spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(table)
+
+
+def _rename(spark: SparkSession, table: str, name: str, partition_by: Sequence[str]) -> None:
+    """Rename a table, and point its partitions to where its folder went.
+
+    What a catalog makes of their places by itself is not relied on: some leave them, some spell special characters twice.
+    """
+    before = _table_details(spark, table)["Location"].rstrip("/")
+    lay = {}
+    if partition_by:
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        lay = {n: partition_location(spark, table, n) for n in names}
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+    after = _table_details(spark, name)["Location"].rstrip("/")
+    if before == after:
+        return
+    for partition, place in lay.items():
+        if place.startswith(before + "/"):
+            place = after + place[len(before) :]
+        spark.sql(f"ALTER TABLE {name} {partition_spec(partition)} SET LOCATION {_sql_text(place)}")
 
 
 def _sql_text(value: str) -> str:

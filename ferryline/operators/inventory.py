@@ -6,9 +6,14 @@ Prefix arguments are raw string prefixes; directory arguments get a trailing sla
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +22,7 @@ from pyspark.sql import types as T
 
 from ferryline.functions.text import directory_prefix, human_bytes
 from ferryline.operators.numbering import number_rows
+from ferryline.operators.publish import Files
 from ferryline.runtime import data_files, materialize, remove, session_settings, shared_folder
 from ferryline.sources.feed_writer import row_in_partition
 
@@ -24,6 +30,9 @@ from ferryline.sources.feed_writer import row_in_partition
 DELETE_BATCH = 1000
 # Fixed value: the folder name of a NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Removals of archived files that run at once.
+REMOVERS = 16
+_JOURNAL = "_left_to_do"
 # Files whose heads one job reads.
 HEAD_FILES = 200
 # No file is cut, and a union keeps its parts apart.
@@ -381,28 +390,23 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, condition:
     that were listed before the copy are copied, counted and removed, and a partition is dropped
     only if nothing else is left in it. So rows that arrive meanwhile stay in the table. Returns the rows
     archived by this call, for each partition. On a difference the source stays as it is.
+
+    The copy is written into a hidden folder of the archive. Once it is complete and counted, a journal there names what is left
+    to do: renames into the archive, files to remove, partitions to drop. A call that is cut off before has changed
+    nothing; one that is cut off later is finished by the next call or by ``finish_archive``.
     """
+    finish_archive(spark, table, archive)
     names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     partitions = _partition_values(spark, table, condition)
-    schema = spark.table(table).schema
     chosen = spark.table(table).where(condition).withColumn("__file", F.col("_metadata.file_path"))
+    run = f"{_archive_runs(table, archive)}{uuid.uuid4().hex}"
     # One row per file, written down because the source is about to go.
-    listed = materialize(chosen.groupBy(*names, "__file").agg(F.count(F.lit(1)).alias("source_rows")), "archive-source")
-    earlier = None
-    if not listed.isEmpty():
-        try:
-            earlier = materialize(
-                spark.read.schema(schema).parquet(archive).select(F.col("_metadata.file_path").alias("__file")).distinct(), "archive-files"
-            )
-        except AnalysisException:
-            pass  # no archive yet
-        moving = chosen.join(listed.select("__file"), "__file", "left_semi").select(*schema.names)
-        moving.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(archive)
-        copied = spark.read.schema(schema).parquet(archive).where(condition).withColumn("__file", F.col("_metadata.file_path"))
-        if earlier is not None:
-            copied = copied.join(earlier, "__file", "left_anti")
-    else:
-        copied = chosen.limit(0)
+    counts = chosen.groupBy(*names, "__file").agg(F.count(F.lit(1)).alias("source_rows"))
+    counts.write.parquet(f"{run}/source")
+    listed = spark.read.schema(counts.schema).parquet(f"{run}/source")
+    moving = chosen.join(listed.select("__file"), "__file", "left_semi").select(*spark.table(table).columns)
+    moving.hint("rebalance", *names).write.partitionBy(*names).parquet(f"{run}/rows")
+    copied = spark.read.schema(moving.schema).parquet(f"{run}/rows")
     source = listed.groupBy(*names).agg(F.sum("source_rows").alias("source_rows")).alias("a")
     target = copied.groupBy(*names).agg(F.count(F.lit(1)).alias("archived_rows")).alias("b")
     same = reduce(
@@ -410,26 +414,66 @@ def archive_partitions(spark: SparkSession, table: str, archive: str, condition:
     )
     moved = materialize(source.join(target, same, "left").select("a.*", "archived_rows"), "archived-partitions")
     if not moved.where(~F.col("source_rows").eqNullSafe(F.col("archived_rows"))).isEmpty():
+        remove(spark, run)
         raise RuntimeError("the archive differs from the source; nothing was removed")
-    folders = set()
-    for row in listed.select(F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B"))).alias("f")).toLocalIterator():
-        remove(spark, row["f"])
-        folders.add(row["f"].rpartition("/")[0])
-    if not any(data_files(spark, f) for f in folders):
-        _drop(spark, table, partitions)
-    else:
-        left = _partition_folders(spark, table, partitions)
-        _drop(spark, table, [p for p, folder in left if not data_files(spark, folder)])
-    spark.catalog.refreshTable(table)
+    files = Files(spark, archive)
+    moves = [[f"{run}/rows/{n}", f"{archive.rstrip('/')}/{n}"] for n in files.below(f"{run}/rows")]
+    files.write(f"{run}/_written", json.dumps({"moves": moves, "partitions": partitions}))
+    # The rename makes the journal appear whole or not at all.
+    files.move(f"{run}/_written", f"{run}/{_JOURNAL}")
+    _finish(spark, table, files, run)
     return moved.drop("source_rows")
 
 
+def finish_archive(spark: SparkSession, table: str, archive: str) -> int:
+    """Finish calls of ``archive_partitions`` for a table that were cut off; how many there were.
+
+    Call it while no other call for the table is running. What a call had copied before it noted its journal is removed.
+    """
+    files, count = Files(spark, archive), 0
+    for found in files.system.globStatus(files.path(f"{_archive_runs(table, archive)}*")) or []:
+        run = found.getPath().toString()
+        if files.exists(f"{run}/{_JOURNAL}"):
+            _finish(spark, table, files, run)
+            count += 1
+        else:
+            remove(spark, run)
+    return count
+
+
+def _archive_runs(table: str, archive: str) -> str:
+    """What the hidden folders of a table's calls begin with."""
+    return f"{archive.rstrip('/')}/_archive-{re.sub('[^a-zA-Z0-9_.]', '_', table)}-"
+
+
+def _finish(spark: SparkSession, table: str, files: Files, run: str) -> None:
+    """Do what a journal names; what is done already is left out."""
+    journal = json.loads(files.read(f"{run}/{_JOURNAL}"))
+    for old, new in journal["moves"]:
+        if files.exists(old):
+            files.move(old, new)
+    sources = spark.read.schema("__file string").parquet(f"{run}/source")
+    sources = sources.select(F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B"))).alias("f"))
+    rows = sources.toLocalIterator(prefetchPartitions=True)
+    with ThreadPoolExecutor(REMOVERS) as pool:
+        # A bounded number of names at a time; each removal is a call to the file system, many run at once.
+        while batch := [r["f"] for r in islice(rows, DELETE_BATCH)]:
+            list(pool.map(lambda name: remove(spark, name), batch))
+    left = [p for p in _partition_folders(spark, table, journal["partitions"]) if not data_files(spark, p[1])]
+    _drop(spark, table, [values for values, _ in left])
+    spark.catalog.refreshTable(table)
+    remove(spark, run)
+
+
 def _partition_folders(spark: SparkSession, table: str, partitions: list[dict[str, str]]) -> list[tuple[dict[str, str], str]]:
-    """Partitions with their folders, from the catalog."""
+    """Partitions with their folders, from the catalog; without those that are dropped already."""
     found = []
     for part in partitions:
         spec = ", ".join(f"`{name}` = {_sql_text(value)}" for name, value in part.items())
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+        try:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+        except AnalysisException:
+            continue
         found.append((part, next(r["data_type"] for r in rows if r["col_name"] == "Location")))
     return found
 

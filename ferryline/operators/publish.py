@@ -60,7 +60,7 @@ def stage(rows: DataFrame, place: Place) -> str:
     return folder
 
 
-class _Files:
+class Files:
     """The file system of a folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -102,7 +102,7 @@ class _Files:
         return text
 
 
-def _spec(folder: str) -> str:
+def partition_spec(folder: str) -> str:
     """``a=1/b=x`` as a partition of a statement."""
     parts = [p.partition("=")[::2] for p in folder.split("/")]
     return "PARTITION (" + ", ".join(f"`{name}` = {_literal(unquote(value))}" for name, value in parts) + ")"
@@ -119,7 +119,7 @@ def _text(value: str) -> str:
 def partition_location(spark: SparkSession, table: str, folder: str) -> str | None:
     """Where the partition named like a folder lies, or None if the table does not have it."""
     try:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(folder)}").collect()
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition_spec(folder)}").collect()
     except AnalysisException:
         return None
     # The partition's own details come before those of the table.
@@ -127,28 +127,28 @@ def partition_location(spark: SparkSession, table: str, folder: str) -> str | No
 
 
 # A step: ("move", from, to), ("point", partition, from, to) or ("add", partition, to).
-def _do(spark: SparkSession, files: _Files, table: str | None, step: list) -> None:
+def _do(spark: SparkSession, files: Files, table: str | None, step: list) -> None:
     if step[0] == "move":
         files.move(step[1], step[2])
     elif step[0] == "point":
-        spark.sql(f"ALTER TABLE {table} {_spec(step[1])} SET LOCATION {_text(step[3])}")
+        spark.sql(f"ALTER TABLE {table} {partition_spec(step[1])} SET LOCATION {_text(step[3])}")
     else:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_spec(step[1])} LOCATION {_text(step[2])}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition_spec(step[1])} LOCATION {_text(step[2])}")
 
 
-def _undo(spark: SparkSession, files: _Files, table: str | None, step: list) -> None:
+def _undo(spark: SparkSession, files: Files, table: str | None, step: list) -> None:
     """Take a step back; nothing happens if it was not taken."""
     if step[0] == "move":
         if files.exists(step[2]) and not files.exists(step[1]):
             files.move(step[2], step[1])
     elif step[0] == "point":
-        spark.sql(f"ALTER TABLE {table} {_spec(step[1])} SET LOCATION {_text(step[2])}")
+        spark.sql(f"ALTER TABLE {table} {partition_spec(step[1])} SET LOCATION {_text(step[2])}")
     elif files.same(partition_location(spark, table, step[1]), step[2]) and ("/_data-" in step[2] or not files.below(step[2])):
         # Dropping a partition removes its folder, so that may hold nothing but staged data.
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(step[1])}")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition_spec(step[1])}")
 
 
-def _append_steps(spark: SparkSession, place: Place, staged: str, files: _Files) -> list[list]:
+def _append_steps(spark: SparkSession, place: Place, staged: str, files: Files) -> list[list]:
     names = files.below(staged)
     if not place.columns:
         return [["move", f"{staged}/{n}", f"{place.folder}/{n}"] for n in names]
@@ -164,7 +164,7 @@ def _append_steps(spark: SparkSession, place: Place, staged: str, files: _Files)
     return steps
 
 
-def _replace_steps(spark: SparkSession, place: Place, staged: str, files: _Files) -> tuple[list[list], list[str]]:
+def _replace_steps(spark: SparkSession, place: Place, staged: str, files: Files) -> tuple[list[list], list[str]]:
     """Steps, and folders that are no longer needed after them."""
     steps, old = [], []
     for folder in sorted({n.rpartition("/")[0] for n in files.below(staged)}):
@@ -184,7 +184,7 @@ def publish(spark: SparkSession, place: Place, staged: str, replace: bool, step:
 
     A failure takes back what was done and leaves the staged data to the caller. ``step`` is called before each step (for tests).
     """
-    files, old = _Files(spark, place.folder), []
+    files, old = Files(spark, place.folder), []
     if replace:
         steps, old = _replace_steps(spark, place, staged, files)
     else:
@@ -215,7 +215,7 @@ def take_back(spark: SparkSession, target: str) -> int:
     Call it while no load of the target is running.
     """
     place = place_of(spark, target)
-    files, count = _Files(spark, place.folder), 0
+    files, count = Files(spark, place.folder), 0
     for found in files.system.globStatus(files.path(place.folder, "_data-*/" + _JOURNAL)) or []:
         journal = json.loads(files.read(found.getPath().toString()))
         for one in reversed(journal["steps"]):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ferryline.operators import distribution
+from ferryline.operators import publish as publishing
 from ferryline.operators.load import RejectLimitExceeded, load, truncate, write_counted
 from ferryline.operators.publish import place_of, publish, stage, take_back
 from ferryline.plans.catalog import ORDERS_SCHEMA, load_orders
@@ -212,10 +213,6 @@ def test_join_of_bucketed_tables_refuses_what_it_cannot_cut(spark):
 def test_redistribute_keeps_format_and_properties(spark):
     table = f"{scratch_database(spark)}.t"
     data = spark.range(100).withColumn("p", F.col("id") % 3)
-    data.write.format("orc").partitionBy("p").saveAsTable(table + "_parts")
-    with pytest.raises(ValueError, match="partitioned"):
-        distribution.redistribute(spark, table + "_parts", 4, ["id"])
-    assert spark.table(table + "_parts").count() == 100
     data.write.format("orc").saveAsTable(table)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner team' = 'it''s')".replace("''", "\\'"))
     distribution.redistribute(spark, table, 4, ["id"])
@@ -223,7 +220,60 @@ def test_redistribute_keeps_format_and_properties(spark):
     assert details["Provider"].lower() == "orc" and details["Num Buckets"] == "4"
     assert {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}["owner team"] == "it's"
     assert spark.table(table).exceptAll(data).isEmpty() and spark.table(table).count() == 100
-    assert [t.name for t in spark.catalog.listTables(table.split(".")[0])] == ["t", "t_parts"]
+    assert [t.name for t in spark.catalog.listTables(table.split(".")[0])] == ["t"]
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc"])
+def test_redistribute_keeps_partitions(spark, format):
+    table = f"{scratch_database(spark)}.t"
+    data = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.concat(F.lit("a b/"), F.col("id") % 4)).alias("p"))
+    data.write.format(format).partitionBy("p").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (p = 'empty')")
+    partitions = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    for buckets in (4, 3):
+        distribution.redistribute(spark, table, buckets, ["id"])
+        details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        assert details["Provider"].lower() == format and details["Num Buckets"] == str(buckets)
+        assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()) == partitions
+        assert sorted(map(str, spark.table(table).collect())) == sorted(map(str, data.collect()))
+        assert spark.table(table).where("p = 'a b/1'").count() == 25
+    for name in partitions:
+        assert publishing.partition_location(spark, table, name).startswith(details["Location"])
+    spark.createDataFrame([(1000, "a b/1")], data.schema).write.insertInto(table)
+    assert spark.table(table).where("p = 'a b/1'").count() == 26
+    with pytest.raises(ValueError, match="partition columns"):
+        distribution.redistribute(spark, table, 4, ["p"])
+
+
+def test_redistribute_of_an_external_table(spark):
+    table, first, second = f"{scratch_database(spark)}.t", shared_folder(spark, "first"), shared_folder(spark, "second")
+    data = spark.range(60).withColumn("p", (F.col("id") % 3).cast("int"))
+    data.write.option("path", first).partitionBy("p").saveAsTable(table)
+    with pytest.raises(ValueError, match="external"):
+        distribution.redistribute(spark, table, 4, ["id"])
+    distribution.redistribute(spark, table, 4, ["id"], location=second)
+    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert details["Type"] == "EXTERNAL" and details["Location"].endswith(second) and details["Num Buckets"] == "4"
+    assert sorted(map(tuple, spark.table(table).collect())) == sorted(map(tuple, data.collect()))
+    # The old files are not the catalog's to remove.
+    assert spark.read.parquet(first).count() == 60
+
+
+def test_redistribute_gives_the_name_back(spark, monkeypatch):
+    table = f"{scratch_database(spark)}.t"
+    data = spark.range(60).withColumn("p", (F.col("id") % 3).cast("int"))
+    data.write.partitionBy("p").saveAsTable(table)
+    rename = distribution._rename
+
+    def fail(session, old, new, by):
+        if new == table and "__new_" in old:
+            raise RuntimeError("lost")
+        rename(session, old, new, by)
+
+    monkeypatch.setattr(distribution, "_rename", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        distribution.redistribute(spark, table, 4, ["id"])
+    assert sorted(map(tuple, spark.table(table).collect())) == sorted(map(tuple, data.collect()))
 
 
 def test_redistribute_keeps_the_rows(spark):

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.segments import segment_of
-from ferryline.operators import distribution, skew
-from ferryline.runtime import scratch_database
+from ferryline.operators import distribution, skew, stored_profiles
+from ferryline.runtime import scratch_database, shared_folder
 
 SEGMENTS = 16
 
@@ -175,3 +175,37 @@ def test_skew_of_tables_as_stored(spark):
         bucket = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.c000", 1).cast("int").alias("segment")
         stored = spark.table(f"{database}.{name}").groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))
         assert got[name] == skew.skew_summary(stored, buckets).first().skew_pct_all
+
+
+def test_stored_profiles_are_taken_once(spark):
+    name, store = f"{scratch_database(spark)}.t", shared_folder(spark, "profiles")
+    i = F.col("id")
+    rows = spark.range(3000).select(i.alias("k"), F.when(i % 4 > 0, i % 7).alias("v"), F.lit(None).cast("string").alias("e"), F.when(i % 3 > 0, F.date_add(F.lit("2026-08-01").cast("date"), (i % 3).cast("int"))).alias("d"))
+    rows.where("d is null or d < '2026-08-03'").write.partitionBy("d").saveAsTable(name)
+    assert stored_profiles.store_profiles(spark, name, store) == ["d=2026-08-02", "d=__HIVE_DEFAULT_PARTITION__"]
+    assert stored_profiles.store_profiles(spark, name, store) == []
+    rows.where("d = '2026-08-03'").write.insertInto(name)
+    assert stored_profiles.store_profiles(spark, name, store) == ["d=2026-08-03"]
+    # A changed partition is read again, and its earlier profile no longer counts.
+    rows.where("d = '2026-08-03' and k < 300").write.insertInto(name)
+    found = {r.column_name: r for r in stored_profiles.key_scan_stored(spark, name, store, 4).collect()}
+    wanted = {r.column_name: r for r in skew.key_scan(spark.table(name), 4, columns=["k", "v", "e"]).collect()}
+    assert found.keys() == wanted.keys()
+    for column, row in wanted.items():
+        assert abs(found[column].ndv - row.ndv) <= 0.02 * row.ndv
+        assert (found[column].null_frac, found[column].verdict) == (row.null_frac, row.verdict)
+        assert abs(found[column].top_value_frac - row.top_value_frac) <= 0.001
+    # A column the store lacks is added for every partition; a dropped partition no longer counts.
+    assert stored_profiles.store_profiles(spark, name, shared_folder(spark, "other"), ["k"]) == sorted(stored_profiles.partition_states(spark, name))
+    spark.sql(f"ALTER TABLE {name} DROP PARTITION (d = '2026-08-02')")
+    left = {r.column_name: r for r in stored_profiles.key_scan_stored(spark, name, store, 4).collect()}
+    assert abs(left["k"].ndv - 2000) <= 40
+
+
+def test_stored_profiles_of_plain_and_empty_tables(spark):
+    database = scratch_database(spark)
+    spark.range(50).write.saveAsTable(f"{database}.plain")
+    spark.range(0).withColumn("p", F.lit(1)).write.partitionBy("p").saveAsTable(f"{database}.empty")
+    plain = stored_profiles.key_scan_stored(spark, f"{database}.plain", shared_folder(spark, "a"), 4).collect()
+    assert [(r.column_name, r.ndv) for r in plain] == [("id", 50)]
+    assert stored_profiles.key_scan_stored(spark, f"{database}.empty", shared_folder(spark, "b"), 4).collect() == []
