@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from ferryline.llm.words import returning, slices, text_batches
 
 #: Bytes of text in a block, as far as whole texts allow.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Texts in a block, about; it matters where they are empty or very short.
 BLOCK_ROWS = 100_000
 #: Bytes of text for each share of the word table, so that a share's table of words fits in a task.
 SHARE_BYTES = 8 << 20
+#: Words given to a tokenizer at once, as what it returns for a word is much larger than its ids.
+WORDS = 10_000
 
 
 @dataclass(frozen=True)
@@ -183,7 +185,9 @@ def encode_words(dictionaries: DataFrame, coding: Coding) -> DataFrame:
                     now, table = share, {}
                 words = work.decompress(packed).decode().split(" ")
                 fresh = [w for w in words if w not in table]
-                table.update(zip(fresh, [np.array(x, "<u4").tobytes() for x in coding.encode(coding.path, fresh)]))
+                for low in range(0, len(fresh), WORDS):
+                    some = fresh[low : low + WORDS]
+                    table.update(zip(some, [np.array(x, "<u4").tobytes() for x in coding.encode(coding.path, some)]))
                 found = [table[w] for w in words]
                 counts.append(pack_numbers(np.array([len(x) // 4 for x in found])))
                 ids.append(pack_numbers(np.frombuffer(b"".join(found), "<u4")))
