@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ferryline.functions.cells import quoted
 from ferryline.operators.publish import partition_location, partition_spec
+from ferryline.operators.stored_profiles import partition_states
+from ferryline.runtime import data_file_names, remove
 
 #: A key with more rows than this on one side is joined in cells; one task handles so many rows easily.
 HEAVY_ROWS = 1_000_000
@@ -162,6 +166,29 @@ def heavy_keys(spark: SparkSession, table: str, keys: Sequence[str], rows: int =
     return counts.where(F.col("__n") > rows).select(*columns)
 
 
+def _heavy_folder(spark: SparkSession, table: str, keys: Sequence[str], rows: int, store: str) -> str:
+    """Folder of a store for the heavy keys of a table as its files are now; other files make another folder."""
+    what = [table, list(keys), rows, sorted(partition_states(spark, table).items())]
+    return f"{store.rstrip('/')}/{hashlib.sha256(json.dumps(what).encode()).hexdigest()}"
+
+
+def store_heavy_keys(spark: SparkSession, table: str, keys: Sequence[str], store: str, rows: int = HEAVY_ROWS) -> DataFrame:
+    """``heavy_keys`` from a store; the table is read only if its files changed since the keys were stored.
+
+    Called after a write, it spares every later join the count. The files are listed before and
+    after the count, and keys of a table that changed in between are not stored.
+    """
+    schema = spark.table(table).select(*[quoted(k) for k in keys]).schema
+    path = _heavy_folder(spark, table, keys, rows, store)
+    if not data_file_names(spark, path, "_SUCCESS"):
+        found = heavy_keys(spark, table, keys, rows)
+        found.coalesce(1).write.mode("overwrite").parquet(path)
+        if _heavy_folder(spark, table, keys, rows, store) != path:
+            remove(spark, path)
+            raise RuntimeError(f"{table} changed while its keys were counted; call again")
+    return spark.read.schema(schema).parquet(path)
+
+
 def distributed_join(
     spark: SparkSession,
     left: str,
@@ -170,13 +197,15 @@ def distributed_join(
     how: str = "inner",
     heavy_rows: int = HEAVY_ROWS,
     pieces: int = PIECES,
+    store: str | None = None,
 ) -> DataFrame:
     """Inner or left join of two tables bucketed by ``on``.
 
     Each task joins one bucket of both sides and nothing of them is shuffled, but for keys with
     more than ``heavy_rows`` rows on a side. Rows of those are cut at random into ``pieces`` on
     each side, and every pair of pieces is joined by itself, so no task holds such a key.
-    The plan is the same at every size; the set of heavy keys may be empty.
+    The plan is the same at every size; the set of heavy keys may be empty. With a ``store`` the heavy
+    keys of both tables come from it (``store_heavy_keys``), and unchanged tables are not counted again.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'; leave other joins to Spark")
@@ -186,7 +215,11 @@ def distributed_join(
         raise ValueError(f"columns of both tables: {', '.join(sorted(clash))}")
     columns = [quoted(c) for c in (*keys, *rest_a, *rest_b)]
     padding = [F.lit(None).cast(b.schema[c].dataType).alias(c) for c in rest_b]
-    heavy = heavy_keys(spark, left, keys, heavy_rows).unionByName(heavy_keys(spark, right, keys, heavy_rows)).distinct()
+    if store:
+        found = [store_heavy_keys(spark, table, keys, store, heavy_rows) for table in (left, right)]
+    else:
+        found = [heavy_keys(spark, table, keys, heavy_rows) for table in (left, right)]
+    heavy = found[0].unionByName(found[1]).distinct()
 
     cold = a.dropna(subset=keys).join(heavy, keys, "left_anti").join(b.join(heavy, keys, "left_anti"), keys, how)
     # Drawn at the scan, whose rows come in a fixed order, so a task that runs again draws the same pieces.

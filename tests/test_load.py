@@ -210,6 +210,41 @@ def test_join_of_bucketed_tables_refuses_what_it_cannot_cut(spark):
         distribution.distributed_join(spark, *tables, ["k"], "full")
 
 
+def test_heavy_keys_are_counted_once_for_each_state_of_a_table(spark, monkeypatch):
+    store = shared_folder(spark, "heavy")
+    left = spark.range(300).select(F.expr("CASE WHEN id < 200 THEN 1 WHEN id < 210 THEN NULL ELSE id END").alias("k"), F.col("id").alias("a"))
+    right = spark.range(30).select(F.expr("CASE WHEN id < 20 THEN 1 ELSE 200 + id END").alias("k"), F.col("id").alias("b"))
+    tables = bucketed(spark, left, right)
+    counted = []
+    count = distribution.heavy_keys
+    monkeypatch.setattr(distribution, "heavy_keys", lambda session, table, *rest: counted.append(table) or count(session, table, *rest))
+    assert [distribution.store_heavy_keys(spark, t, ["k"], store, 50).collect() for t in tables] == [[(1,)], []]
+    wanted = sorted(map(str, left.join(right, "k", "left").collect()))
+    for _ in range(2):
+        joined = distribution.distributed_join(spark, *tables, ["k"], "left", 50, 3, store)
+        assert sorted(map(str, joined.collect())) == wanted
+    assert counted == list(tables)
+    # Another limit and changed files are counted anew, and only for the table that they concern.
+    distribution.store_heavy_keys(spark, tables[0], ["k"], store, 500)
+    more = spark.range(60).select(F.lit(210).cast("long").alias("k"), (F.col("id") + 100).alias("b"))
+    buckets = next(r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {tables[1]}").collect() if r.col_name == "Num Buckets")
+    more.write.mode("append").bucketBy(int(buckets), "k").saveAsTable(tables[1])
+    joined = distribution.distributed_join(spark, *tables, ["k"], "left", 50, 3, store)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, left.join(right.union(more), "k", "left").collect()))
+    assert counted == [*tables, tables[0], tables[1]]
+
+
+def test_keys_of_a_table_that_changes_meanwhile_are_not_stored(spark, monkeypatch):
+    store = shared_folder(spark, "heavy")
+    table, _ = bucketed(spark, spark.range(20).toDF("k"), spark.range(20).toDF("k"))
+    states = iter(["one", "two"])
+    monkeypatch.setattr(distribution, "partition_states", lambda *_: {"": next(states)})
+    with pytest.raises(RuntimeError, match="changed"):
+        distribution.store_heavy_keys(spark, table, ["k"], store, 5)
+    monkeypatch.setattr(distribution, "partition_states", lambda *_: {"": "one"})
+    assert distribution.store_heavy_keys(spark, table, ["k"], store, 0).count() == 20
+
+
 def test_redistribute_keeps_format_and_properties(spark):
     table = f"{scratch_database(spark)}.t"
     data = spark.range(100).withColumn("p", F.col("id") % 3)
