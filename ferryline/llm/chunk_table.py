@@ -12,7 +12,7 @@
    that of the vocabulary.
 
 Only dictionaries are shuffled there and back, and word numbers once; never each word of a text. A block
-holds about ``BLOCK_BYTES`` of text, or one longer text. It is named by a digest of its keys and dictionary,
+holds about ``block_bytes`` of text, or one longer text. It is named by a digest of its keys and dictionary,
 so a lost executor's blocks are found again when their rows are read again; were they other rows,
 the job would stop and not mix up words.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.words import returning, slices, text_batches
 
-#: Bytes of text in a block, as far as whole texts allow.
+#: Bytes of text in a block, as far as whole texts allow. Larger blocks cost less time, smaller ones less memory.
 BLOCK_BYTES = 4 << 20
 #: Texts in a block, about; it matters where they are empty or very short.
 BLOCK_ROWS = 100_000
@@ -47,7 +47,7 @@ class Coding:
 
     ``chunks`` cuts a text at white space, ``parts`` a chunk into words; both cut only where tokens end anyway. No word
     holds a blank. ``encode`` gives the ids of each of many words, ``pieces`` what each id stands for, and ``join`` the
-    text that the pieces of all ids make.
+    text that the pieces of all ids make. Blocks have about ``block_bytes`` of text.
     """
 
     path: str
@@ -56,6 +56,7 @@ class Coding:
     encode: Callable[[str, list[str]], list[list[int]]]
     pieces: Callable[[str], dict[int, str | bytes]]
     join: Callable[[list], str]
+    block_bytes: int = BLOCK_BYTES
 
 
 class Ragged:
@@ -98,14 +99,14 @@ def _dictionary(keys: list[int | None], words: set[str], shares: int) -> tuple[b
     return name.digest(), ordered, share[order]
 
 
-def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+def _text_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[list[pa.RecordBatch]]:
     """Parts of batches, together about as large as a block."""
     held, size, rows = [], 0, 0
     for batch in batches:
         for part, data, _ in slices(batch, "t"):
             held.append(part)
             size, rows = size + len(data), rows + len(part)
-            if size >= BLOCK_BYTES or rows >= BLOCK_ROWS:
+            if size >= block_bytes or rows >= BLOCK_ROWS:
                 yield held
                 held, size, rows = [], 0, 0
     if held:
@@ -129,7 +130,7 @@ def _dictionaries(coding: Coding, shares: int):
         import zstandard
 
         work = zstandard.ZstdCompressor(level=3)
-        for block in _text_blocks(batches):
+        for block in _text_blocks(batches, coding.block_bytes):
             chunks: set[str] = set()
             for text in _texts(block):
                 chunks.update(coding.chunks(path, text))
@@ -149,7 +150,7 @@ def _numbers(coding: Coding, shares: int):
     path = coding.path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _text_blocks(batches):
+        for block in _text_blocks(batches, coding.block_bytes):
             chunks: dict[str, int] = {}
             places = [np.array([chunks.setdefault(w, len(chunks)) for w in coding.chunks(path, text) if w], np.int64) for text in _texts(block)]
             cut = [coding.parts(path, chunk) for chunk in chunks]

@@ -21,6 +21,8 @@ MARKER = "\u2581"
 _MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~'"
 #: Words of more characters are cut wherever the vocabulary allows it.
 LONG = 24
+#: Bytes of text in a block of the word table.
+BLOCK_BYTES = 8 << 20
 _UNKNOWN = " \u2047 "
 
 
@@ -115,4 +117,4 @@ def encode_and_decode(docs: DataFrame, key: str, text: str, model_path: str) ->
     are, spell unknown characters in bytes, have no symbols of a user, and no piece with a marker or line end within it.
     ``docs`` is read three times and must give the same rows in the same order in each task, as files do.
     """
-    return chunk_table.encode_and_decode(docs, key, text, chunk_table.Coding(model_path, chunks, parts, encode, pieces, join))
+    return chunk_table.encode_and_decode(docs, key, text, chunk_table.Coding(model_path, chunks, parts, encode, pieces, join, BLOCK_BYTES))
