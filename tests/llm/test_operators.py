@@ -540,6 +540,38 @@ def test_long_and_short_lists_are_matched_alike():
         assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(few, few[1:]))
 
 
+def listed(draw, rows):
+    """A page with a long list of heads and rows, some of them with more inside."""
+    inside = ["x", "<i>x</i>", "<b>x</b><i>y</i>", "<u><b>x</b></u>", "<i>y</i><b>x</b>"]
+    return "".join(f"<h3>{draw.choice(inside)}</h3><p>{draw.choice(inside)}</p>" + "<hr>" * (draw.random() < 0.1) for _ in range(rows))
+
+
+def test_long_lists_lose_no_partner(monkeypatch):
+    """Every pair of places counts, not only those with as many of their kind before or behind them."""
+    for seed in range(60):
+        draw = random.Random(seed)
+        own = listed(draw, draw.randint(2, 40))
+        other = listed(draw, draw.randint(0, 3)) + own + listed(draw, draw.randint(0, 3)) if seed % 2 else listed(draw, draw.randint(2, 40))
+        a, b = (wrapper.page_slots(html)[1] for html in (own, other))
+        found = []
+        for grid in (0, 10**9):
+            monkeypatch.setattr(wrapper, "GRID", grid)
+            found.append(wrapper.Matching(a, b).partners(a, b))
+        assert found[0] == found[1]
+        assert len(found[0]) == len(a.inner) or not seed % 2
+
+
+def test_template_in_the_midst_of_a_long_list():
+    def page(n):
+        rows = [f"<h3>head {n} {k}</h3><p>text {n} {k}</p>" for k in range(400 + 3 * n)]
+        rows.insert(200 + n, "<h3>note {0}</h3><p><i>Same legal note</i></p>".format(n))
+        return "".join(rows)
+
+    texts = texts_of_host([page(n) for n in range(5)])
+    assert not any("legal" in text for text in texts)
+    assert [text.count("text") for text in texts] == [400 + 3 * n for n in range(5)]
+
+
 def test_formulas_and_labels_outside_forms_are_text():
     html = "<article><p>x <math>E=mc</math> y</p><form><label>name</label></form><p><label>figure</label> one</p></article>"
     assert wrapper.main_text(html, None) == "x E=mc y\n\nfigure one"
