@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,8 @@ class Coding:
 
     ``chunks`` cuts a text at white space, ``parts`` a chunk into words; both cut only where tokens end anyway. No word
     holds a blank. ``encode`` gives the ids of each of many words, ``pieces`` what each id stands for, and ``join`` the
-    text that the pieces of all ids make. Blocks have about ``block_bytes`` of text.
+    text that the pieces of all ids make. Blocks have about ``block_bytes`` of text. ``split``, if given, does the work of
+    ``chunks`` for lists of texts at once: their different chunks, and for each text the places of its chunks among these.
     """
 
     path: str
@@ -57,6 +60,7 @@ class Coding:
     pieces: Callable[[str], dict[int, str | bytes]]
     join: Callable[[list], str]
     block_bytes: int = BLOCK_BYTES
+    split: Callable[[str, Iterable[list[str | None]]], tuple[list[str], list[np.ndarray]]] | None = None
 
 
 class Ragged:
@@ -88,9 +92,12 @@ def unpack_numbers(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _dictionary(keys: list[int | None], words: set[str], shares: int) -> tuple[bytes, list[str], np.ndarray]:
-    """A digest of keys and words, the words in order of share and spelling, and their shares."""
-    ordered = sorted(words)
+def _dictionary(coding: Coding, keys: list[int | None], words: Iterable[str], shares: int) -> tuple[bytes, list[str], np.ndarray]:
+    """A digest of keys and words, the words in order of share, and their shares.
+
+    Within a share words are in order of spelling, or as they come from ``split``, which is the same in each reading.
+    """
+    ordered = list(words) if coding.split else sorted(words)
     share = np.array([zlib.crc32(w.encode()) % shares for w in ordered], np.int64)
     order = np.argsort(share, kind="stable")
     ordered = [ordered[n] for n in order.tolist()]
@@ -117,9 +124,30 @@ def _keys(block: list[pa.RecordBatch]) -> list[int | None]:
     return [key for part in block for key in part.column(0).to_pylist()]
 
 
-def _texts(block: list[pa.RecordBatch]) -> Iterator[str | None]:
+def _texts(block: list[pa.RecordBatch]) -> Iterator[list[str | None]]:
     for part in block:
-        yield from part.column(1).to_pylist()
+        yield part.column(1).to_pylist()
+
+
+def _different(coding: Coding, block: list[pa.RecordBatch]) -> Iterable[str]:
+    """The different chunks of a block's texts."""
+    if coding.split:
+        return coding.split(coding.path, _texts(block))[0]
+    chunks: set[str] = set()
+    for texts in _texts(block):
+        for text in texts:
+            chunks.update(coding.chunks(coding.path, text))
+    chunks.discard("")
+    return chunks
+
+
+def _places(coding: Coding, block: list[pa.RecordBatch]) -> tuple[list[str], list[np.ndarray]]:
+    """Chunks of a block's texts, and the places of each text's chunks among them."""
+    if coding.split:
+        return coding.split(coding.path, _texts(block))
+    chunks: dict[str, int] = {}
+    places = [np.array([chunks.setdefault(w, len(chunks)) for w in coding.chunks(coding.path, t) if w], np.int64) for ts in _texts(block) for t in ts]
+    return list(chunks), places
 
 
 def _dictionaries(coding: Coding, shares: int):
@@ -131,11 +159,8 @@ def _dictionaries(coding: Coding, shares: int):
 
         work = zstandard.ZstdCompressor(level=3)
         for block in _text_blocks(batches, coding.block_bytes):
-            chunks: set[str] = set()
-            for text in _texts(block):
-                chunks.update(coding.chunks(path, text))
-            chunks.discard("")
-            digest, words, share = _dictionary(_keys(block), {w for chunk in chunks for w in coding.parts(path, chunk)}, shares)
+            own = dict.fromkeys([w for chunk in _different(coding, block) for w in coding.parts(path, chunk)])
+            digest, words, share = _dictionary(coding, _keys(block), own, shares)
             found, starts = np.unique(share, return_index=True)
             edges = [*starts.tolist(), len(words)]
             packed = [work.compress(" ".join(words[a:b]).encode()) for a, b in zip(edges, edges[1:])]
@@ -151,13 +176,15 @@ def _numbers(coding: Coding, shares: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _text_blocks(batches, coding.block_bytes):
-            chunks: dict[str, int] = {}
-            places = [np.array([chunks.setdefault(w, len(chunks)) for w in coding.chunks(path, text) if w], np.int64) for text in _texts(block)]
+            chunks, places = _places(coding, block)
             cut = [coding.parts(path, chunk) for chunk in chunks]
             keys = _keys(block)
-            digest, words, _ = _dictionary(keys, {w for ws in cut for w in ws}, shares)
-            number = {w: n for n, w in enumerate(words)}
-            numbers = Ragged(np.array([len(ws) for ws in cut], np.int64), np.array([number[w] for ws in cut for w in ws], np.uint32))
+            place: defaultdict[str, int] = defaultdict(count().__next__)
+            flat = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64)
+            digest, words, _ = _dictionary(coding, keys, place, shares)
+            number = np.empty(len(words), np.uint32)
+            number[np.fromiter(map(place.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+            numbers = Ragged(np.array([len(ws) for ws in cut], np.int64), number[flat])
             coded = [numbers.take(p)[0] for p in places]
             row = [digest, len(words), keys, pack_numbers(np.array([len(c) for c in coded])), pack_numbers(np.concatenate(coded))]
             types = [pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]

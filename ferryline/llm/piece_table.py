@@ -9,14 +9,17 @@ by the library, and its ids go back to the words' positions by join.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ferryline.llm import chunk_table
 
 MARKER = "\u2581"
+_MARKER = MARKER.encode()
 #: ASCII marks that close a word.
 _MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~'"
 #: Words of more characters are cut wherever the vocabulary allows it.
@@ -31,8 +34,8 @@ class Model:
     processor: object
     #: Neighbours within a piece.
     pairs: frozenset[str]
-    #: Chunks of a marked text: a character that is in no longer piece, or a run of markers and what follows it.
-    shape: re.Pattern
+    #: Which bytes are characters that are in no longer piece.
+    lone: np.ndarray
     #: Text whose last character is such a character, and the number of its ids.
     lead: str
     lead_ids: int
@@ -58,15 +61,46 @@ def load_model(path: str) -> Model:
         probe = "Ab  \u00c5\ufb01 c "
         if processor.decode(processor.encode(probe)) != probe:
             raise ValueError("this model changes texts before it segments them")
-        own = re.escape("".join(lone))
-        shape = re.compile(f"[{own}]|{MARKER}*[^{MARKER}{own}]+|{MARKER}+")
-        _MODELS[path] = Model(processor, pairs, shape, "\n", len(processor.encode("\n")))
+        alone = np.zeros(256, bool)
+        alone[[ord(c) for c in lone]] = True
+        _MODELS[path] = Model(processor, pairs, alone, "\n", len(processor.encode("\n")))
     return _MODELS[path]
 
 
+def split(path: str, groups: Iterable[list[str | None]]) -> tuple[list[str], list[np.ndarray]]:
+    """Different marked words of texts, and for each text the places of its marked words among them.
+
+    A marked word is a character that is in no longer piece, or a run of markers and what follows it. Its first bytes are
+    found in all texts of a group at once, and equal words by Arrow's dictionary encoding. A word may be there twice, as
+    a blank is the same as a marker.
+    """
+    lone = load_model(path).lone
+    arrays, counts = [], [np.zeros(0, np.int64)]
+    for texts in groups:
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        whole = b"".join(raw)
+        data, ends = np.frombuffer(whole, np.uint8), np.cumsum([len(t) for t in raw], dtype=np.int64)
+        mark = data == 0x20
+        if _MARKER in whole:
+            found = np.flatnonzero((data[:-2] == _MARKER[0]) & (data[1:-1] == _MARKER[1]) & (data[2:] == _MARKER[2]))
+            mark[found] = mark[found + 1] = mark[found + 2] = True
+        first = lone[data]
+        first[1:] |= first[:-1].copy()
+        first[1:] |= mark[1:] & ~mark[:-1]
+        edges = np.concatenate([[0], ends])
+        first[edges[edges < len(data)]] = True
+        starts = np.append(np.flatnonzero(first), len(data))
+        counts.append(np.diff(np.searchsorted(starts, edges)))
+        arrays.append(pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(whole)))
+    coded = pa.concat_arrays([*arrays, pa.array([], pa.large_string())]).dictionary_encode()
+    places = np.split(coded.indices.to_numpy(), np.cumsum(np.concatenate(counts))[:-1])
+    return [w.replace(" ", MARKER) for w in coded.dictionary.to_pylist()], places
+
+
 def chunks(path: str, text: str | None) -> list[str]:
     """Marked words of a text in order."""
-    return load_model(path).shape.findall(MARKER + text.replace(" ", MARKER)) if text else []
+    words, (places,) = split(path, [[text]])
+    return [words[n] for n in places.tolist()]
 
 
 def parts(path: str, chunk: str) -> tuple[str, ...]:
@@ -117,4 +151,4 @@ def encode_and_decode(docs: DataFrame, key: str, text: str, model_path: str) ->
     are, spell unknown characters in bytes, have no symbols of a user, and no piece with a marker or line end within it.
     ``docs`` is read three times and must give the same rows in the same order in each task, as files do.
     """
-    return chunk_table.encode_and_decode(docs, key, text, chunk_table.Coding(model_path, chunks, parts, encode, pieces, join, BLOCK_BYTES))
+    return chunk_table.encode_and_decode(docs, key, text, chunk_table.Coding(model_path, chunks, parts, encode, pieces, join, BLOCK_BYTES, split))

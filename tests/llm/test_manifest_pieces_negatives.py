@@ -2,16 +2,19 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 from math import floor
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+import zstandard
 from pyspark.sql import functions as F
 
-from ferryline.llm import hard_negatives, merkle, piece_table
+from ferryline.llm import chunk_table, hard_negatives, merkle, piece_table
 from ferryline.llm.queries import op12_merkle, piece_file
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -119,6 +122,33 @@ def test_marked_words_have_the_ids_of_the_whole():
         assert ids == wanted and piece_table.join([names[i] for i in ids]) == library.decode(wanted), text
 
 
+@pytest.mark.parametrize("size", [1, 7, 5000])
+def test_texts_cut_together_have_their_own_marked_words(size):
+    path, rng, letters = piece_file(), random.Random(5), " \n\t\r▁▂━aab.,日é😀\x00"
+    texts = [None, "", " ", "▁", "\n", *["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(4000)], "", None]
+    alone = "".join(c for c in "\n\r\t" if piece_table.load_model(path).lone[ord(c)])
+    shape = re.compile(f"[{alone}]|▁*[^▁{alone}]+|▁+")
+    words, places = piece_table.split(path, [texts[n : n + size] for n in range(0, len(texts), size)])
+    found = [[words[n] for n in own.tolist()] for own in places]
+    assert found == [shape.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+
+
+def test_dictionaries_and_numbers_name_the_same_words():
+    """Both passes put the words of a block in the same order, whatever rows are in it."""
+    texts = ["b a, a\nc", None, "", "a▁b a b", "z " * 50, "c. b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["k", "t"])
+    path = piece_file()
+    coding = chunk_table.Coding(path, piece_table.chunks, piece_table.parts, piece_table.encode, piece_table.pieces, piece_table.join, split=piece_table.split)
+    shares = [row for part in chunk_table._dictionaries(coding, 3)(iter([batch])) for row in part.to_pylist()]
+    words = [w for row in shares for w in zstandard.ZstdDecompressor().decompress(row["words"]).decode().split(" ")]
+    (part,) = chunk_table._numbers(coding, 3)(iter([batch]))
+    (row,) = part.to_pylist()
+    assert {r["block"] for r in shares} == {row["block"]} and row["size"] == len(words) == len(set(words))
+    numbers = iter(chunk_table.unpack_numbers(row["numbers"]).tolist())
+    found = ["".join(words[next(numbers)] for _ in range(n)) for n in chunk_table.unpack_numbers(row["counts"]).tolist()]
+    assert found == ["▁" + t.replace(" ", "▁") if t else "" for t in texts]
+
+
 def test_pieces_of_whole_texts(spark):
     texts = [(1, None), (2, ""), (3, " "), (4, "A  b\n"), (4, "A  b\n"), (5, "ha " * 40_000 + "end"), (None, "é <s> 漢字"), (6, "\x00")]
     frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("t", F.lit(1)).repartition(3)
