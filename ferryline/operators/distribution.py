@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferryline.functions.cells import quoted
 from ferryline.operators.publish import partition_location, partition_spec
@@ -19,6 +20,8 @@ from ferryline.runtime import data_file_names, remove
 HEAVY_ROWS = 1_000_000
 #: Pieces into which each side of a heavy key is cut.
 PIECES = 16
+#: Decimal places that Spark keeps for sure where it multiplies decimals.
+MOST_SCALE = 6
 
 
 def write_distributed(
@@ -198,6 +201,8 @@ def distributed_join(
     heavy_rows: int = HEAVY_ROWS,
     pieces: int = PIECES,
     store: str | None = None,
+    by: Sequence[str] | None = None,
+    sums: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Inner or left join of two tables bucketed by ``on``.
 
@@ -206,13 +211,23 @@ def distributed_join(
     each side, and every pair of pieces is joined by itself, so no task holds such a key.
     The plan is the same at every size; the set of heavy keys may be empty. With a ``store`` the heavy
     keys of both tables come from it (``store_heavy_keys``), and unchanged tables are not counted again.
+
+    The rows of the join may be as many as the square of a key's rows. With ``by``, columns of either table, they are
+    counted instead of made: the result has ``n`` for each key and combination of ``by``, and totals of ``sums``
+    (column: the type it is summed in; decimals with six places at most). Each side is summed by key and its own columns of ``by``,
+    in its buckets, before it is joined, so no more rows meet than there are such combinations. These are totals of parts; sum them up.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'; leave other joins to Spark")
     keys, a, b = list(on), spark.table(left), spark.table(right)
+    own_a, own_b = a.columns, b.columns
+    if by is not None:
+        a, b = _totals(a, keys, by, sums or {}, "__rows_a"), _totals(b, keys, by, sums or {}, "__rows_b")
     rest_a, rest_b = ([c for c in t.columns if c not in keys] for t in (a, b))
     if clash := set(rest_a) & set(rest_b) or {"__a", "__b"} & {*rest_a, *rest_b}:
         raise ValueError(f"columns of both tables: {', '.join(sorted(clash))}")
+    if by is not None and (lost := {*by, *(sums or {})} - {*own_a, *own_b} or {"n", *(sums or {})} & {*keys, *by}):
+        raise ValueError(f"columns of no table, or of two meanings: {', '.join(sorted(lost))}")
     columns = [quoted(c) for c in (*keys, *rest_a, *rest_b)]
     padding = [F.lit(None).cast(b.schema[c].dataType).alias(c) for c in rest_b]
     if store:
@@ -221,10 +236,13 @@ def distributed_join(
         found = [heavy_keys(spark, table, keys, heavy_rows) for table in (left, right)]
     heavy = found[0].unionByName(found[1]).distinct()
 
+    def hot(rows: DataFrame, piece: str, seed: int) -> DataFrame:
+        # Drawn at the scan, whose rows come in a fixed order, so a task that runs again draws the same pieces. Totals come in any order.
+        place = F.floor(F.rand(seed) * pieces) if by is None else F.pmod(F.xxhash64(F.lit(seed), *[quoted(c) for c in rows.columns if c in by]), F.lit(pieces))
+        return rows.withColumn(piece, place.cast("int")).join(heavy, keys, "left_semi")
+
     cold = a.dropna(subset=keys).join(heavy, keys, "left_anti").join(b.join(heavy, keys, "left_anti"), keys, how)
-    # Drawn at the scan, whose rows come in a fixed order, so a task that runs again draws the same pieces.
-    hot_a = a.withColumn("__a", F.floor(F.rand(1) * pieces).cast("int")).join(heavy, keys, "left_semi")
-    hot_b = b.withColumn("__b", F.floor(F.rand(2) * pieces).cast("int")).join(heavy, keys, "left_semi")
+    hot_a, hot_b = hot(a, "__a", 1), hot(b, "__b", 2)
     every = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))
     cells_a, cells_b = hot_a.withColumn("__b", every), hot_b.withColumn("__a", every)
     result = cold.select(*columns).unionByName(cells_a.join(cells_b, [*keys, "__a", "__b"]).select(*columns))
@@ -232,4 +250,22 @@ def distributed_join(
         alone = hot_a.join(hot_b.select(*[quoted(k) for k in keys]).distinct(), keys, "left_anti")
         for rows in (alone, a.where(F.array_contains(F.array(*[quoted(k).isNull() for k in keys]), True))):
             result = result.unionByName(rows.select(*[quoted(c) for c in (*keys, *rest_a)], *padding))
-    return result
+    if by is None:
+        return result
+    # Every row of one side meets every row of the other; one without a partner stands once.
+    times = {c: F.coalesce("__rows_b", F.lit(1)) for c in rest_a} | {c: F.col("__rows_a") for c in rest_b}
+    totals = [(quoted(c) * times[c]).alias(c) for c in sums or {}]
+    return result.select(*[quoted(c) for c in dict.fromkeys((*keys, *by))], (F.col("__rows_a") * times["__rows_a"]).alias("n"), *totals)
+
+
+def _totals(df: DataFrame, keys: Sequence[str], by: Sequence[str], sums: Mapping[str, str], rows: str) -> DataFrame:
+    """Rows and sums of a table for each key and combination of those columns of ``by`` and ``sums`` that it has."""
+    groups = [c for c in df.columns if c in keys or c in by]
+    figures = []
+    for name, kind in sums.items():
+        if name in df.columns and name not in groups:
+            kind = df.select(quoted(name).cast(kind).alias(name)).schema[0].dataType
+            if isinstance(kind, T.DecimalType) and kind.scale > MOST_SCALE:
+                raise ValueError(f"{name} would be rounded: sums of decimals have at most {MOST_SCALE} places")
+            figures.append(F.sum(quoted(name).cast(kind)).alias(name))
+    return df.groupBy(*[quoted(c) for c in groups]).agg(F.count(F.lit(1)).alias(rows), *figures)

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ferryline.checks import CHECKS
 from ferryline.operators import distribution
 from ferryline.operators import publish as publishing
 from ferryline.operators.load import RejectLimitExceeded, load, truncate, write_counted
@@ -202,6 +203,65 @@ def test_join_of_bucketed_tables_with_hot_keys(spark, how, heavy_rows):
     assert sorted(map(str, joined.collect())) == sorted(map(str, wanted.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("heavy_rows", [3, 10**6])
+@pytest.mark.parametrize("by, sums", [(["s"], {"a": "decimal(18,2)"}), (["s", "t"], {"a": "bigint", "b": "decimal(9,6)"}), (["k"], {}), ([], {"b": "bigint"})])
+def test_totals_of_a_join_of_bucketed_tables(spark, how, heavy_rows, by, sums):
+    def hot(odd):
+        key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 == odd, F.lit(None))
+        return key.when(F.col("id") % 10 == 4, F.lit(-odd)).otherwise(F.col("id"))
+
+    def maybe(n):
+        return F.nullif(F.col("id") % n, F.lit(0))
+
+    left = spark.range(600).select(hot(1).alias("k"), maybe(11).alias("a"), maybe(3).cast("string").alias("t"))
+    right = spark.range(300).select(hot(2).alias("k"), maybe(5).alias("b"), maybe(4).cast("string").alias("s"))
+    tables = bucketed(spark, left, right)
+    totals = distribution.distributed_join(spark, *tables, ["k"], how, heavy_rows, pieces=4, by=by, sums=sums)
+    assert totals.columns == list(dict.fromkeys(["k", *by, "n", *sums]))
+    groups = [c for c in by if c != "k"] or ["k"]
+    got = totals.groupBy(*groups).agg(F.sum("n").alias("n"), *[F.sum(c).cast("decimal(18,2)").alias(c) for c in sums])
+    wanted = left.join(right, "k", how).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("decimal(18,2)").alias(c) for c in sums])
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_totals_of_a_join_refuse_unknown_columns_and_rounding(spark):
+    left, right = spark.range(3).selectExpr("id AS k", "id AS a"), spark.range(3).selectExpr("id AS k", "id AS b")
+    tables = bucketed(spark, left, right)
+    for by, sums in ((["c"], {}), (["b"], {"c": "bigint"}), (["b"], {"b": "bigint"}), ([], {"k": "bigint"})):
+        with pytest.raises(ValueError, match="columns of no table"):
+            distribution.distributed_join(spark, *tables, ["k"], by=by, sums=sums)
+    with pytest.raises(ValueError, match="rounded"):
+        distribution.distributed_join(spark, *tables, ["k"], by=["b"], sums={"a": "decimal(18,7)"})
+
+
+@pytest.mark.parametrize("name", ["bucketed_join_hot"])
+def test_queries_on_hot_keys_make_no_row_for_each_pair(spark, plan, folder, name):
+    # All orders but a few have the hot key 2; their 40 million pairs with the lines would take many times as long as the rest.
+    keys = spark.range(2000).select((F.col("id") * 25 + 104).alias("o_orderkey"))
+    orders = keys.selectExpr("o_orderkey", "1L AS o_custkey", "DATE'1998-01-01' AS o_orderdate", "1.5D AS o_totalprice", "IF(o_orderkey % 2 = 0, 'O', NULL) AS o_orderstatus")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    lines = keys.selectExpr("o_orderkey AS l_orderkey", "IF(o_orderkey % 4 = 0, 0.5D, NULL) AS l_quantity", "explode(sequence(1, 10)) AS l_linenumber")
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    joined = CHECKS[name].run(spark, str(folder))
+    got = {r.status: (r.n, float(r.quantity)) for r in joined.collect()}
+    assert got == {"O": (20_000_000, 2_500_000.0), None: (20_000_000, 2_500_000.0)}
+    assert most_joined_rows(joined) <= 20_000
+
+
+def most_joined_rows(df):
+    """The most rows that a join of a finished query made."""
+    found, work = [0], [df._jdf.queryExecution().executedPlan()]
+    while work:
+        node = work.pop()
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        inner = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        inner += [node.children().apply(n) for n in range(node.children().size())]
+        work += inner
+    return max(found)
+
+
 def test_join_of_bucketed_tables_refuses_what_it_cannot_cut(spark):
     tables = bucketed(spark, spark.range(3).toDF("k").withColumn("a", F.lit(1)), spark.range(3).toDF("k").withColumn("a", F.lit(1)))
     with pytest.raises(ValueError, match="columns of both"):
