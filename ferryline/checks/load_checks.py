@@ -260,11 +260,10 @@ def bucketed_join_stored_keys(spark, sf):
     for name in (left, right):
         distribution.store_heavy_keys(spark, name, ["k"], store, 100)
     lines.where("early").drop("early").write.mode("append").bucketBy(16, "k").saveAsTable(right)
-    joined = distribution.distributed_join(spark, left, right, ["k"], heavy_rows=100, store=store)
-    return joined.groupBy("status").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("quantity"),
+    joined = distribution.distributed_join(
+        spark, left, right, ["k"], heavy_rows=100, store=store, by=["status"], sums={"l_quantity": "decimal(18,2)"}
     )
+    return _joined_per_status(joined)
 
 
 @check(PER_STATUS)

@@ -235,7 +235,7 @@ def test_totals_of_a_join_refuse_unknown_columns_and_rounding(spark):
         distribution.distributed_join(spark, *tables, ["k"], by=["b"], sums={"a": "decimal(18,7)"})
 
 
-@pytest.mark.parametrize("name", ["bucketed_join_hot"])
+@pytest.mark.parametrize("name", ["bucketed_join_hot", "bucketed_join_stored_keys"])
 def test_queries_on_hot_keys_make_no_row_for_each_pair(spark, plan, folder, name):
     # All orders but a few have the hot key 2; their 40 million pairs with the lines would take many times as long as the rest.
     keys = spark.range(2000).select((F.col("id") * 25 + 104).alias("o_orderkey"))
