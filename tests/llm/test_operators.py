@@ -483,6 +483,61 @@ def test_two_different_pages_make_a_template(pages):
     assert texts_of_host([html.format(n) for n in range(pages)]) == [f"Title {n}\n\ntext {n}" for n in range(pages)]
 
 
+@pytest.mark.parametrize("pages", [3, 30, 100])
+def test_all_constant_texts_of_a_long_slot_are_template(pages):
+    html = "<div>" + "".join(f"<p>Clause {n} of the site</p>" for n in range(700)) + "<p>{0}</p><p>{0} more</p></div>"
+    assert texts_of_host([html.format(f"own {n}") for n in range(pages)]) == [f"own {n}\n\nown {n} more" for n in range(pages)]
+
+
+def test_a_constant_text_is_found_among_many_that_came_first():
+    own = [[f"text {n} {k}" for k in range(300)] for n in range(50)]
+    pages = ["".join(f"<p>{t}</p>" for t in (*texts, *["Legal note"] * (n >= 15))) for n, texts in enumerate(own)]
+    assert texts_of_host(pages) == ["\n\n".join(texts) for texts in own]
+
+
+def test_texts_that_are_dropped_can_be_no_template(monkeypatch):
+    """The same texts are template if none is dropped, over templates of parts that are merged."""
+
+    def template(pages):
+        parts = []
+        for start in range(4):
+            first, *others = [wrapper.page_slots(html)[1] for html in pages[start::4]]
+            wrapper.drop_members(first)
+            for other in others:
+                wrapper.fold(first, other)
+            parts.append(wrapper.packed(first))
+        whole = wrapper.unpacked(parts[0])
+        for part in parts[1:]:
+            wrapper.fold(whole, wrapper.unpacked(part))
+        held = sum(len(s.texts) for s in wrapper.every_slot(whole))
+        return held, [(s.key, s.pages, sorted(s.texts)) for s in wrapper.every_slot(wrapper.constants(whole))]
+
+    monkeypatch.setattr(wrapper, "TEXTS", 1)
+    for seed in range(25):
+        draw = random.Random(seed)
+        shares = [draw.uniform(0.3, 0.9) for _ in range(30)]
+        pages = []
+        for n in range(draw.choice([5, 20, 26, 30, 40, 60, 250])):
+            texts = [f"c{k}" for k, share in enumerate(shares) if draw.random() < share] + [f"own {n} {k}" for k in range(5)]
+            pages.append("".join(f"<p>{t}</p>" for t in texts) + f"<div><h2>Head {n % 3}</h2>" * (n % 2) + "<i>end</i>")
+        pages += draw.sample(pages, 3)
+        held, found = template(pages)
+        with monkeypatch.context() as patch:
+            patch.setattr(wrapper, "bound", lambda seen: float("inf"))
+            most, wanted = template(pages)
+        assert found == wanted
+        assert held < most or len(pages) < 60
+
+
+def test_templates_of_a_task_are_passed_on_when_they_hold_many_texts(spark, monkeypatch):
+    rows = [(n, f"http://h{n % 2}/{n}", "".join(f"<p>Line {k} of the site</p>" for k in range(200)) + f"<p>own {n}</p>") for n in range(24)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").coalesce(1)
+    for held in (wrapper.HELD, 300):
+        monkeypatch.setattr(wrapper, "HELD", held)
+        texts = {r.page_id: r.text for r in wrapper.extract(pages, "url", "html", ["page_id"]).collect()}
+        assert texts == {n: f"own {n}" for n in range(24)}
+
+
 def test_copies_of_a_page_make_no_template():
     html = "<nav>menu {0}</nav><div class='ad'>buy {0}</div><article><h1>Title</h1><p>text</p></article>"
     assert texts_of_host([html.format(n) for n in range(9)]) == ["Title\n\ntext"] * 9
