@@ -216,6 +216,7 @@ def distributed_join(
     counted instead of made: the result has ``n`` for each key and combination of ``by``, and totals of ``sums``
     (column: the type it is summed in; decimals with six places at most). Each side is summed by key and its own columns of ``by``,
     in its buckets, before it is joined, so no more rows meet than there are such combinations. These are totals of parts; sum them up.
+    Values of rows without a partner must fit the type, too.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'; leave other joins to Spark")
